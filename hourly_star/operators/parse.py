@@ -38,31 +38,35 @@ def parse_responses(responses: DataFrame, codes: list[str],
     """
     codes = list(codes)
     guarded = _guarded(responses, codes, expected_units or {}, as_of)
-    series = F.arrays_zip(F.col("times").alias("measured_at_utc"),
-                          *[F.col("doc")["hourly"][code].alias(code) for code in codes])
+    columns = range(len(codes))
+    series = F.arrays_zip("times", *[f"values_{i}" for i in columns])
     # The guard sits inside the generator, not in a filter: a filter would be
     # pushed below the projection and decode the document once per reference.
     hours = guarded.select(
         "response_id", "location_code", "ingested_at", "as_of", "guard_error",
-        *[F.col(f"unit_{i}") for i in range(len(codes))],
+        *[f"unit_{i}" for i in columns],
         F.explode_outer(F.when(F.col("guard_error").isNull(), series)).alias("hour"),
     )
+    wide = hours.select(
+        "response_id", "location_code", "ingested_at", "guard_error",
+        F.col("hour")["times"].alias("measured_at_utc"),
+        (F.col("hour")["times"] > F.col("as_of")).alias("is_forecast"),
+        *[F.col("hour")[f"values_{i}"].alias(f"value_{i}") for i in columns],
+        *[f"unit_{i}" for i in columns],
+    )
     per_code = F.array(*[
-        F.struct(F.lit(code).alias("pollutant_code"), F.col("hour")[code].alias("raw_value"),
+        F.struct(F.lit(code).alias("pollutant_code"), F.col(f"value_{i}").alias("raw_value"),
                  F.col(f"unit_{i}").alias("unit"))
         for i, code in enumerate(codes)
     ])
-    at = F.col("hour")["measured_at_utc"]
-    cells = hours.select(
-        "response_id", "location_code", "ingested_at", "as_of", "guard_error",
-        at.alias("measured_at_utc"),
-        F.inline_outer(F.when(at.isNotNull(), per_code)),
+    cells = wide.select(
+        "response_id", "location_code", "ingested_at", "guard_error", "measured_at_utc",
+        "is_forecast", F.inline_outer(F.when(F.col("measured_at_utc").isNotNull(), per_code)),
     )
     return cells.select(
         "response_id", "location_code", "pollutant_code", "measured_at_utc",
         F.col("raw_value").cast(CONCENTRATION).alias("value"), "unit", "ingested_at",
-        (F.col("measured_at_utc") > F.col("as_of")).alias("is_forecast"),
-        "guard_error",
+        "is_forecast", "guard_error",
     )
 
 
@@ -74,19 +78,23 @@ def _guarded(responses: DataFrame, codes: list[str], expected: dict[str, str],
         "response_id", "location_code", "ingested_at", limit.alias("as_of"),
         F.from_json("payload", payload_schema(codes), JSON_OPTIONS).alias("doc"),
     )
-    timed = decoded.select(
-        "*",
-        F.transform(doc["hourly"]["time"],
-                    lambda t: F.try_to_timestamp(t, F.lit(TIME_PATTERN))).alias("times"),
+    hourly = doc["hourly"]
+    fields = decoded.select(
+        "response_id", "location_code", "ingested_at", "as_of",
+        (doc.isNull() | doc["_corrupt_record"].isNotNull()).alias("malformed"),
+        doc["utc_offset_seconds"].alias("utc_offset"),
+        F.transform(hourly["time"], lambda t: F.try_to_timestamp(t, F.lit(TIME_PATTERN)))
+        .alias("times"),
+        *[hourly[code].alias(f"values_{i}") for i, code in enumerate(codes)],
         *[normalised_unit(doc["hourly_units"][code]).alias(f"unit_{i}")
           for i, code in enumerate(codes)],
     )
-    return timed.select("*", _first_error(codes, expected).alias("guard_error"))
+    return fields.select("*", _first_error(codes, expected).alias("guard_error"))
 
 
 def _first_error(codes: list[str], expected: dict[str, str]) -> Column:
     """Reason of the first guard that fails, NULL when all pass."""
-    doc, times = F.col("doc"), F.col("times")
+    times = F.col("times")
     n_times = F.coalesce(F.size(times), F.lit(0))
 
     def fails(condition: Column, reason: str) -> Column:
@@ -95,12 +103,12 @@ def _first_error(codes: list[str], expected: dict[str, str]) -> Column:
     guards = [
         # A value of a wrong JSON type turns its whole array into NULL, so a
         # body that does not decode in full is refused before anything else.
-        fails(doc.isNull() | doc["_corrupt_record"].isNotNull(), "malformed"),
-        fails(~doc["utc_offset_seconds"].eqNullSafe(F.lit(0.0)), "utc_offset"),
+        fails(F.col("malformed"), "malformed"),
+        fails(~F.col("utc_offset").eqNullSafe(F.lit(0.0)), "utc_offset"),
         fails(n_times < 1, "no_time_axis"),
     ]
     for i, code in enumerate(codes):
-        values, unit = doc["hourly"][code], F.col(f"unit_{i}")
+        values, unit = F.col(f"values_{i}"), F.col(f"unit_{i}")
         guards += [
             fails(values.isNull(), f"missing:{code}"),
             fails(F.size(values) != n_times, f"length:{code}"),
@@ -113,8 +121,8 @@ def _first_error(codes: list[str], expected: dict[str, str]) -> Column:
         fails(F.exists(times, lambda t: t.isNull()), "malformed_time"),
         fails(F.size(F.array_distinct(kept)) < F.size(kept), "duplicate_time"),
     ]
-    for code in codes:
-        values = doc["hourly"][code]
+    for i, code in enumerate(codes):
+        values = F.col(f"values_{i}")
         guards.append(fails(
             (F.array_max(values) >= TOO_LARGE) | (F.array_min(values) <= -TOO_LARGE),
             f"overflow:{code}",

@@ -47,7 +47,8 @@ class Warehouse:
     def _create_table(self, table: str) -> None:
         spec = TABLES[table]
         declared = {field.name for field in spec.schema}
-        known = [f for f in self._stored_fields(table) if f.name not in declared]
+        stored = self._stored_fields(table)
+        known = [f for f in stored if f.name not in declared]
         body = [f for f in spec.schema if f.name not in spec.partitions] + known
         columns = ", ".join(
             _column_ddl(f) for f in body + [spec.schema[p] for p in spec.partitions]
@@ -57,7 +58,7 @@ class Warehouse:
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet {by} "
             f"LOCATION '{self.location(table)}' COMMENT '{spec.comment}'"
         )
-        if spec.partitions:
+        if stored and spec.partitions:
             self.spark.catalog.recoverPartitions(self.name(table))
 
     def _stored_fields(self, table: str) -> list[T.StructField]:
@@ -100,7 +101,8 @@ class Warehouse:
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in target.schema
         ])
-        with partition_overwrite(self.spark, mode):
+        # The rows may belong to another session, as those of a micro-batch do.
+        with partition_overwrite(df.sparkSession, mode):
             ordered.write.insertInto(self.name(table), overwrite=True)
 
 

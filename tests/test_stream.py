@@ -1,0 +1,73 @@
+from datetime import date, datetime, timedelta
+
+from conftest import body, envelopes, utc
+from hourly_star.plans.ingest import ingest
+from hourly_star.plans.star import build_star
+from hourly_star.streaming.upsert_stream import document_stream, envelope_stream, start_upserts
+
+T = datetime(2026, 9, 20, 3)
+DAY = [f"2026-09-19T{h:02d}:00" for h in range(24)]
+
+
+def clock(batch_id):
+    return T + timedelta(days=batch_id)
+
+
+def run(warehouse, stream, **kw):
+    start_upserts(warehouse, stream, f"{warehouse.root}/progress", clock=clock, **kw) \
+        .awaitTermination()
+
+
+def rows(warehouse, table="hourly_readings"):
+    drop = "source_response_id"
+    return sorted(utc(warehouse.read(table).drop(drop)), key=repr)
+
+
+def test_new_files_are_taken_up_once(spark, warehouse):
+    folder = f"{warehouse.root}/landing"
+    envelopes(spark, body(DAY, [1.0] * 24)).write.parquet(folder)
+    run(warehouse, envelope_stream(spark, folder))
+    assert warehouse.read("fct_hourly_readings").count() == 96
+    before = rows(warehouse)
+    run(warehouse, envelope_stream(spark, folder))
+    assert rows(warehouse) == before and warehouse.read("responses").count() == 1
+
+    # A late and a revised document.
+    late = [t.replace("09-19", "09-01") for t in DAY]
+    envelopes(spark, body(late, [2.0] * 24), body(DAY, [1.0] * 23 + [9.0])).coalesce(1) \
+        .write.mode("append").parquet(folder)
+    run(warehouse, envelope_stream(spark, folder))
+    assert warehouse.read("fct_hourly_readings").count() == 192
+    assert warehouse.read("hourly_readings").filter("loaded_at > first_loaded_at").count() == 4
+    assert warehouse.read("responses").count() == 3
+
+
+def test_a_batch_delivered_again_changes_nothing(spark, warehouse):
+    docs = envelopes(spark, body(DAY, [1.0] * 24))
+    ingest(warehouse, docs, clock(0), "stream-000000000")
+    build_star(warehouse)
+    before, fact = rows(warehouse), rows(warehouse, "fct_hourly_readings")
+    raw = utc(warehouse.read("responses"))
+    # After a crash the same batch comes at a later time.
+    result = ingest(warehouse, docs, clock(3), "stream-000000000")
+    build_star(warehouse)
+    assert (result.inserted, result.changed, result.unchanged) == (0, 0, 96)
+    assert rows(warehouse) == before and rows(warehouse, "fct_hourly_readings") == fact
+    assert utc(warehouse.read("responses")) == raw
+
+
+def test_single_document_files(spark, warehouse, tmp_path):
+    folder = tmp_path / "docs"
+    folder.mkdir()
+    (folder / "a.json").write_text(body(DAY, [1.0] * 24))
+    manifest = spark.createDataFrame(
+        [(f"{n}.json", "cairo", f"https://example.invalid/{n}", "{}", date(2026, 9, 19),
+          date(2026, 9, 19), 200) for n in "ab"],
+        "document string, location_code string, request_url string, request_params string, "
+        "window_start date, window_end date, http_status int")
+    run(warehouse, document_stream(spark, str(folder), manifest), star=False)
+    assert warehouse.read("hourly_readings").count() == 96
+    (folder / "b.json").write_text(body(DAY, [1.0] * 22 + [3.0] * 2))
+    run(warehouse, document_stream(spark, str(folder), manifest), star=False)
+    assert warehouse.read("hourly_readings").filter("loaded_at > first_loaded_at").count() == 8
+    assert warehouse.read("responses").count() == 2

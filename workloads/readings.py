@@ -9,7 +9,7 @@ from hourly_star.operators.constraints import (
     duplicates, nonnegative, on_grid, references, required, violations,
 )
 from hourly_star.operators.revisions import fold, revised, revision_log
-from hourly_star.operators.upsert import apply_actions, counters, merge_actions
+from hourly_star.operators.upsert import counters, merge_actions, upserted
 from hourly_star.plans.reports import pull_novelty
 from hourly_star.plans.star import staged_readings, with_lineage
 from hourly_star.sources.fixture import seeded_readings
@@ -56,7 +56,7 @@ def upsert_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, batch = _target_and_batch(spark, sf_dir)
-    return plain(apply_actions(target, merge_actions(target, batch)))
+    return plain(upserted(target, batch))
 
 
 def upsert_log(spark: SparkSession, sf_dir: str) -> DataFrame:
