@@ -66,12 +66,8 @@ def violations(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def violation_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Offending rows per rule, all rules in one aggregate."""
-    counted = df.agg(*[
-        F.count_if(F.expr(broken)).alias(f"r{i}") for i, (_, broken) in enumerate(rules)])
-    pairs = F.array(*[F.struct(F.lit(name).alias("violation"), F.col(f"r{i}").alias("offending"))
-                      for i, (name, _) in enumerate(rules)])
-    return counted.select(F.inline(pairs))
+    """One row with the number of offending rows per rule; one aggregate."""
+    return df.agg(*[F.count_if(F.expr(broken)).alias(name) for name, broken in rules])
 
 
 def references(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -95,10 +91,13 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def enforce(df: DataFrame, rules: list[Rule]) -> None:
     """Raise when any row breaks a rule."""
-    broken = [row for row in violation_counts(df, rules).collect() if row.offending]
+    raise_if_any(violation_counts(df, rules).first().asDict())
+
+
+def raise_if_any(counts: dict[str, int]) -> None:
+    broken = [f"{name} ({n} rows)" for name, n in counts.items() if n]
     if broken:
-        text = ", ".join(f"{row.violation} ({row.offending} rows)" for row in broken)
-        raise ConstraintViolation(text)
+        raise ConstraintViolation(", ".join(broken))
 
 
 def enforce_none(found: DataFrame, what: str) -> None:

@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourly_star.operators.constraints import (
-    POLLUTANT_RULES, READING_RULES, RESPONSE_RULES, enforce, enforce_domain, enforce_none,
-    references,
+    POLLUTANT_RULES, READING_RULES, RESPONSE_RULES, enforce, enforce_domain, raise_if_any,
 )
 from hourly_star.operators.parse import (
     dropped_forecast, parse_responses, readings, refuse, rejected,
 )
 from hourly_star.operators.revisions import fold
-from hourly_star.operators.upsert import UpsertResult, upsert
+from hourly_star.operators.upsert import upsert
 from hourly_star.session import instant, stage
 from hourly_star.sources import reference
 from hourly_star.sources.landing import SOURCE, land, raw_columns
@@ -47,26 +46,33 @@ def ingest(warehouse: Warehouse, envelopes: DataFrame, batch_ts: datetime,
     landed = land(warehouse, envelopes, batch_ts, batch_id, source)
     enforce(landed, RESPONSE_RULES)
 
-    # Documents are decoded once; all that follows reads the narrow copy.
+    # Documents are decoded once; all that follows reads the narrow copy. Codes
+    # come from the reference table, so a reading of an unknown one cannot occur.
     parsed = stage(parse_responses(landed, list(units), units),
                    warehouse.staging_path("parsed"))
-    if strict:
+    counts = _profile(parsed)
+    if strict and counts["rejected"]:
         refuse(rejected(parsed))
-    rows = readings(parsed)
-    enforce(rows, READING_RULES)
-    enforce_none(references(rows, "pollutant_code", pollutants, "pollutant_code"),
-                 "pollutant codes without a reference row")
-    result = upsert(warehouse, rows)
-    return _summary(landed, parsed, result)
-
-
-def _summary(landed: DataFrame, parsed: DataFrame, result: UpsertResult) -> RunSummary:
-    counts = parsed.agg(
-        F.count_if("is_forecast").alias("dropped"),
-        F.count_if(F.col("measured_at_utc").isNull()).alias("rejected"),
-    ).first()
-    return RunSummary(landed.count() - counts.rejected, result.submitted, result.inserted,
-                      result.changed, result.unchanged, counts.dropped, counts.rejected)
+    raise_if_any({name: counts[name] for name, _ in READING_RULES})
+    result = upsert(warehouse, readings(parsed))
+    return RunSummary(
+        counts["accepted"], result.submitted, result.inserted, result.changed, result.unchanged,
+        counts["dropped"], counts["rejected"])
+
+
+def _profile(parsed: DataFrame) -> dict[str, int]:
+    """All a run needs to know of a parsed batch, in one scan of it."""
+    measured = F.col("measured_at_utc").isNotNull()
+    submitted = measured & ~F.col("is_forecast")
+    per_response = parsed.groupBy("response_id").agg(
+        F.max(measured.cast("int")).alias("accepted"),
+        F.count_if(F.col("is_forecast")).alias("dropped"),
+        *[F.count_if(submitted & F.expr(broken)).alias(name) for name, broken in READING_RULES])
+    totals = per_response.agg(
+        F.sum("accepted").alias("accepted"), F.sum(1 - F.col("accepted")).alias("rejected"),
+        F.sum("dropped").alias("dropped"),
+        *[F.sum(F.col(f"`{name}`")).alias(name) for name, _ in READING_RULES]).first()
+    return {name: n or 0 for name, n in totals.asDict().items()}
 
 
 def dry_run(envelopes: DataFrame, codes: list[str], as_of: datetime,

@@ -114,7 +114,8 @@ def build_star(warehouse: Warehouse, full_refresh: bool = False, zone: str = TIM
     enforce_domain(warehouse.read("pollutants"))
     staged = staged_readings(warehouse.read("hourly_readings"), zone)
     staged.createOrReplaceTempView(warehouse.prefix + STAGING_VIEW)
-    warehouse.replace_all("dim_date", dim_date(staged, weekend, padding).coalesce(1))
+    edges = staged_readings(_edge_days(warehouse), zone)
+    warehouse.replace_all("dim_date", dim_date(edges, weekend, padding).coalesce(1))
     warehouse.replace_all("dim_pollutant", dim_pollutant(warehouse.read("pollutants")).coalesce(1))
 
     pollutants = warehouse.read("dim_pollutant")
@@ -127,6 +128,18 @@ def build_star(warehouse: Warehouse, full_refresh: bool = False, zone: str = TIM
     return merge(warehouse, "fct_hourly_readings", _dated(batch), list(FACT_KEY))
 
 
+def _edge_days(warehouse: Warehouse, n: int = 2) -> DataFrame:
+    """Readings of the first and last few days, all a range of days depends on.
+
+    More than one on each side, as a clock set back may put a later instant
+    on an earlier local day.
+    """
+    days = warehouse.partition_days("hourly_readings", "utc_date")
+    listed = [row[0] for row in days.orderBy("utc_date").limit(n).collect()
+              + days.orderBy(F.desc("utc_date")).limit(n).collect()]
+    return warehouse.read("hourly_readings").filter(F.col("utc_date").isin(listed))
+
+
 def _dated(rows: DataFrame) -> DataFrame:
     # By UTC date: the local date of a row could move when zone rules change.
     return rows.withColumn("utc_date", F.to_date("measured_at_utc"))

@@ -7,13 +7,14 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourly_star.operators.constraints import duplicates, enforce_none
 from hourly_star.session import instant
 from hourly_star.sources.tables import Warehouse
 
 SOURCE = "hourly-api"
 
-# What a fetcher leaves for one request. `document` orders documents fetched
-# at the same instant.
+# What a fetcher leaves for one request. `document` is unique in a batch and
+# orders documents fetched at the same instant.
 ENVELOPE = (
     "document string, location_code string, request_url string, request_params string, "
     "window_start date, window_end date, http_status smallint, fetched_at timestamp, "
@@ -71,9 +72,9 @@ def land(warehouse: Warehouse, envelopes: DataFrame, batch_ts: datetime,
     top_id, newest = _high_water(warehouse)
     if newest is not None and batch_ts.replace(tzinfo=None) < newest:
         raise ValueError(f"batch time {batch_ts} is before the newest landing {newest}")
-    # Sorting by fetch time makes the order of the ids the order of arrival.
-    rows = envelopes.orderBy("fetched_at", "document").select(
-        (F.lit(top_id + 1) + F.monotonically_increasing_id()).alias("response_id"),
+    numbered = _numbered(envelopes.select("document", "fetched_at"), top_id)
+    rows = envelopes.join(numbered, "document").select(
+        "response_id",
         *raw_columns(source),
         instant(batch_ts).alias("ingested_at"),
         F.lit(batch_ts.date()).alias("ingest_date"),
@@ -83,14 +84,25 @@ def land(warehouse: Warehouse, envelopes: DataFrame, batch_ts: datetime,
     return warehouse.read("responses").filter(F.col("ingest_batch") == batch_id)
 
 
+def _numbered(documents: DataFrame, top_id: int) -> DataFrame:
+    """Ids that grow with the time of fetching, above all ids so far.
+
+    Only names and times are sorted. Bodies are read once and, as long as the
+    list of names is small enough to be broadcast, not moved at all.
+    """
+    enforce_none(duplicates(documents, ["document"]), "documents that occur twice in a batch")
+    return documents.orderBy("fetched_at", "document").select(
+        "document",
+        (F.lit(top_id + 1) + F.monotonically_increasing_id()).alias("response_id"))
+
+
 def _high_water(warehouse: Warehouse) -> tuple[int, datetime | None]:
     """Largest id and landing time. Both grow, so the newest date has them."""
-    name = warehouse.name("responses")
-    day = (warehouse.spark.sql(f"SHOW PARTITIONS {name}")
-           .agg(F.max(F.regexp_extract("partition", "ingest_date=([0-9-]+)", 1))).first()[0])
+    newest = warehouse.partition_days("responses", "ingest_date").agg(F.max("ingest_date"))
+    day = newest.first()[0]
     if day is None:
         return 0, None
-    top = (warehouse.read("responses").filter(F.col("ingest_date") == F.lit(day).cast("date"))
+    top = (warehouse.read("responses").filter(F.col("ingest_date") == F.lit(day))
            .agg(F.max("response_id").alias("id"),
                 F.max("ingested_at").cast("string").alias("at")).first())
     if top["id"] is None:

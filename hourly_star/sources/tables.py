@@ -73,6 +73,12 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def partition_days(self, table: str, column: str) -> DataFrame:
+        """The days a table has partitions for, from the catalog alone."""
+        day = F.regexp_extract("partition", f"{column}=([0-9-]+)", 1)
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
+        return listed.select(day.cast("date").alias(column)).distinct()
+
     def add_columns(self, table: str, df: DataFrame) -> None:
         """Append columns the table does not have yet; older rows read as NULL."""
         present = set(self.read(table).columns)

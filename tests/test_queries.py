@@ -7,9 +7,7 @@ TINY = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.oracle_sql()) <= set(contract.queries())
-    # The newest documents are a plain top-k whose ids only Spark has.
-    assert set(contract.queries()) - set(contract.oracle_sql()) <= {"raw_newest"}
+    assert set(contract.oracle_sql()) == set(contract.queries())
 
 
 def test_entry(spark):

@@ -83,7 +83,15 @@ def test_counters_equal_upserts_in_turn(spark):
     table, _ = simulate(first)
     log = [a for _, _, a in simulate(second, table)[1]]
     got = counters(merge_actions(fold(submissions(spark, first)), submissions(spark, second), 4))
-    assert tuple(got.first()) == (300, log.count("I"), log.count("U"), log.count("N"))
+    assert got.first().asDict() == {
+        "submitted": 300, "inserted": log.count("I"), "changed": log.count("U"),
+        "unchanged": log.count("N"), "repeated": 0}
+
+
+def test_a_reading_twice_in_one_response_is_counted(spark):
+    rows = [*rows_of([1]), *rows_of([2])]
+    target = fold(submissions(spark, rows_of([1], code="ozone")))
+    assert counters(merge_actions(target, submissions(spark, rows))).first().repeated == 1
 
 
 @pytest.mark.parametrize("segment", [1, 2, 1 << 18])

@@ -15,8 +15,9 @@ from hourly_star.plans.star import staged_readings, with_lineage
 from hourly_star.sources.fixture import seeded_readings
 from hourly_star.sources.landing import covering, digest_counts, newest_first
 from hourly_star.sources.windows import lookback, request_plan, split_windows
-from workloads.mapping import CODES, KEYS, documents, fold_sql, plain, reference_rows, sub_sql
-from workloads.mapping import submissions, table
+from workloads.mapping import (
+    CODES, DOCS_SQL, KEYS, documents, fold_sql, plain, reference_rows, sub_sql, submissions, table,
+)
 
 MIDDLE = "2024-01-15"
 STATE = f"{KEYS}, value, unit, source_response_id, first_loaded_at, loaded_at"
@@ -51,7 +52,7 @@ def upsert_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, batch = _target_and_batch(spark, sf_dir)
-    return counters(merge_actions(target, batch))
+    return counters(merge_actions(target, batch)).drop("repeated")
 
 
 def upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,6 +269,8 @@ ORACLES = {
         FROM documents GROUP BY 1""",
     "raw_window_lookup": f"""WITH {_LOCATIONS} SELECT location_code, window_start, window_end
         FROM win WHERE window_start <= DATE '{MIDDLE}' AND window_end >= DATE '{MIDDLE}'""",
+    "raw_newest": f"""WITH {SUB}, {DOCS_SQL} SELECT doc_id AS response_id, request_url, ingested_at
+        FROM docs ORDER BY ingested_at DESC, doc_id DESC LIMIT 25""",
     "pull_novelty": f"""WITH {COARSE}, {fold_sql()},
         bodies AS (SELECT 'loc_' || CAST(user_id // 25 AS VARCHAR) AS location_code,
           count(*) AS n_responses, count(*) - count(DISTINCT props) AS n_repeated_bodies
