@@ -46,8 +46,7 @@ def relationships(df: DataFrame, column: str, parent: DataFrame, field: str) ->
 
 def above_plausible(fact: DataFrame, pollutants: DataFrame) -> DataFrame:
     """Readings above the bound of their own pollutant."""
-    # The reference table is refused beyond a fixed size when it is stored.
-    bounds = F.broadcast(pollutants.select("pollutant_key", "plausible_max"))
+    bounds = pollutants.select("pollutant_key", "plausible_max")
     return fact.join(bounds, "pollutant_key").filter(
         F.col("concentration").isNotNull() & (F.col("concentration") > F.col("plausible_max"))
     ).select("reading_key", "pollutant_key", "measured_at_utc", "concentration", "plausible_max")

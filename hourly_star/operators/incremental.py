@@ -46,7 +46,7 @@ def merge(warehouse: Warehouse, table: str, batch: DataFrame, keys: list[str],
     if n:
         touched = in_days(warehouse.read(table), staged.select(part).distinct(), part)
         merged = delete_insert(touched, staged, keys)
-        warehouse.replace_partitions(table, by_partition(merged, part))
+        warehouse.replace_partitions(table, by_partition(merged, part, *keys))
     return n
 
 

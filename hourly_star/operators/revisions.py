@@ -30,15 +30,17 @@ def _changed(before: str, after: str) -> Column:
 def _compared(submissions: DataFrame, segment: int) -> DataFrame:
     """Each submission next to the one before it in its segment."""
     w = Window.partitionBy(*KEY, "segment").orderBy("response_id")
-    return (
-        submissions.select(
-            *KEY, F.expr(f"response_id div {segment}").alias("segment"), "response_id",
-            "ingested_at", F.struct("value", "unit").alias("now"),
-        )
-        .withColumn("before", F.lag("now").over(w))
-        .withColumn("before_id", F.lag("response_id").over(w))
-        .withColumn("moved", F.col("before_id").isNotNull() & _changed("before", "now"))
+    rows = submissions.select(
+        *KEY, F.expr(f"response_id div {segment}").alias("segment"),
+        "response_id", "ingested_at", "value", "unit",
     )
+    beside = rows.select(
+        "*", F.lag("value").over(w).alias("before_value"), F.lag("unit").over(w).alias("before_unit"),
+        F.lag("response_id").over(w).alias("before_id"))
+    moved = F.col("before_id").isNotNull() & (
+        differs(F.col("before_value"), F.col("value")) | differs(F.col("before_unit"), F.col("unit")))
+    return beside.select(*KEY, "segment", "response_id", "ingested_at", "before_id",
+                         F.struct("value", "unit").alias("now"), moved.alias("moved"))
 
 
 def _segments(compared: DataFrame) -> DataFrame:

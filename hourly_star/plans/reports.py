@@ -95,8 +95,8 @@ def rolling_guideline(fact: DataFrame, pollutants: DataFrame,
     if reach >= block_hours:
         raise ValueError("blocks must be longer than the averaging period")
     hour, length = 3600, block_hours * 3600
-    limits = F.broadcast(pollutants.select(
-        "pollutant_key", "who_guideline", F.col("who_averaging_hours").alias("averaging_hours")))
+    limits = pollutants.select(
+        "pollutant_key", "who_guideline", F.col("who_averaging_hours").alias("averaging_hours"))
     second = F.unix_timestamp("measured_at_utc")
     own = F.expr("second div {}".format(length))
     nearly_over = F.col("second") >= (F.col("own") + 1) * length - reach * hour

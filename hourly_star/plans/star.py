@@ -67,10 +67,10 @@ def dim_pollutant(pollutants: DataFrame) -> DataFrame:
 def fact(staged: DataFrame, pollutants: DataFrame) -> DataFrame:
     """One row per reading of a known pollutant.
 
-    One broadcast join and no shuffle: the reference table is refused beyond a
-    fixed size when it is stored.
+    The reference table is refused beyond a fixed size when it is stored, well
+    below what Spark broadcasts by itself, so no reading is shuffled.
     """
-    guideline = F.broadcast(pollutants.select("pollutant_key", "who_guideline"))
+    guideline = pollutants.select("pollutant_key", "who_guideline")
     return staged.join(
         guideline, F.col("pollutant_code") == F.col("pollutant_key")
     ).select(
@@ -115,8 +115,8 @@ def build_star(warehouse: Warehouse, full_refresh: bool = False, zone: str = TIM
     staged = staged_readings(warehouse.read("hourly_readings"), zone)
     staged.createOrReplaceTempView(warehouse.prefix + STAGING_VIEW)
     edges = staged_readings(_edge_days(warehouse), zone)
-    warehouse.replace_all("dim_date", dim_date(edges, weekend, padding).coalesce(1))
-    warehouse.replace_all("dim_pollutant", dim_pollutant(warehouse.read("pollutants")).coalesce(1))
+    warehouse.replace_all("dim_date", dim_date(edges, weekend, padding))
+    warehouse.replace_all("dim_pollutant", dim_pollutant(warehouse.read("pollutants")))
 
     pollutants = warehouse.read("dim_pollutant")
     target = warehouse.read("fct_hourly_readings")

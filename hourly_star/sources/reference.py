@@ -9,8 +9,8 @@ from hourly_star.session import stage
 from hourly_star.sources.tables import Warehouse
 
 # A document carries one array per code, and the list of codes becomes the
-# schema of the document. The table is refused beyond this size, which is what
-# allows every join with it to be a broadcast.
+# schema of the document. The table is refused beyond this size, which keeps
+# it below the size up to which Spark broadcasts a table by itself.
 MAX_CODES = 10_000
 
 
@@ -29,7 +29,7 @@ def store(warehouse: Warehouse, new: DataFrame) -> None:
                    warehouse.staging_path("pollutants"))
     if merged.limit(MAX_CODES + 1).count() > MAX_CODES:
         raise ValueError(f"more than {MAX_CODES} pollutant codes")
-    warehouse.replace_all("pollutants", merged.coalesce(1))
+    warehouse.replace_all("pollutants", merged)
 
 
 def domain_rows(pollutants: DataFrame) -> list[Row]:

@@ -118,10 +118,10 @@ def _column_ddl(field: T.StructField) -> str:
     return f"{text} COMMENT '{comment}'" if comment else text
 
 
-def by_partition(df: DataFrame, column: str) -> DataFrame:
-    """Gather rows of a partition into few files before a write.
+def by_partition(df: DataFrame, column: str, *order: str) -> DataFrame:
+    """Gather rows of a partition into few files before a write, sorted inside.
 
     Rebalancing lets adaptive execution split a partition that is far larger
     than the others over several tasks, and join small ones.
     """
-    return df.hint("rebalance", F.col(column))
+    return df.hint("rebalance", F.col(column)).sortWithinPartitions(column, *order)

@@ -296,9 +296,10 @@ cells AS (
     AND r.issue = d.issue AND r.h = g.h AND r.pollutant_code = c.pollutant_code)"""
 
 
-def envelopes(docs: DataFrame) -> DataFrame:
+def envelopes(docs: DataFrame, *extra: str) -> DataFrame:
     """Documents the way a fetcher leaves them."""
     return docs.select(
+        *extra,
         F.col("request_url").alias("document"), "location_code", "request_url",
         "request_params", "window_start", "window_end", "http_status",
         F.col("ingested_at").alias("fetched_at"), F.col("payload").cast("binary").alias("body"))

@@ -15,7 +15,7 @@ from hourly_star.plans.ingest import dry_run, ingest, replay
 from hourly_star.plans.star import build_star, fact, staged_readings, with_lineage
 from hourly_star.schemas import FACT_KEY
 from hourly_star.session import shared_dir
-from hourly_star.sources.landing import land
+from hourly_star.sources.landing import ENVELOPE, land
 from hourly_star.sources.tables import Warehouse
 from hourly_star.streaming.upsert_stream import envelope_stream, start_upserts
 from workloads.mapping import (
@@ -58,8 +58,12 @@ def dry_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("dropped_future").alias("dropped_future"))
 
 
-def _batch(docs: DataFrame, issue: int) -> DataFrame:
-    return envelopes(docs.filter(F.col("issue") == issue))
+def _fetched(spark: SparkSession, sf_dir: str, warehouse: Warehouse) -> dict[int, DataFrame]:
+    """Documents as files a fetcher left, one folder per issue."""
+    docs, folder = documents(spark, sf_dir), f"{warehouse.root}/fetched"
+    envelopes(docs, "issue").write.partitionBy("issue").parquet(folder)
+    return {issue: spark.read.schema(ENVELOPE).parquet(f"{folder}/issue={issue}")
+            for issue in set(BATCHES)}
 
 
 def _state(warehouse: Warehouse) -> DataFrame:
@@ -70,17 +74,19 @@ def _state(warehouse: Warehouse) -> DataFrame:
 
 def upsert_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches through landing, parse and upsert, with the tables read back."""
-    warehouse, docs = scratch_warehouse(spark), documents(spark, sf_dir)
+    warehouse = scratch_warehouse(spark)
+    docs = _fetched(spark, sf_dir, warehouse)
     for i, issue in enumerate(BATCHES):
-        ingest(warehouse, _batch(docs, issue), _times(i))
+        ingest(warehouse, docs[issue], _times(i))
     return _state(warehouse)
 
 
 def raw_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same state rebuilt from the raw log in one job."""
-    warehouse, docs = scratch_warehouse(spark), documents(spark, sf_dir)
+    warehouse = scratch_warehouse(spark)
+    docs = _fetched(spark, sf_dir, warehouse)
     for i, issue in enumerate(BATCHES):
-        land(warehouse, _batch(docs, issue), _times(i))
+        land(warehouse, docs[issue], _times(i))
     rebuilt = replay(warehouse.read("responses"), UNITS)
     rows = with_lineage(rebuilt, warehouse.read("responses"))
     return plain(rows.select(*KEYS.split(", "), "value", "unit", "request_url",
@@ -89,8 +95,9 @@ def raw_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counters the three runs report."""
-    warehouse, docs = scratch_warehouse(spark), documents(spark, sf_dir)
-    rows = [(i, *ingest(warehouse, _batch(docs, issue), _times(i)))
+    warehouse = scratch_warehouse(spark)
+    docs = _fetched(spark, sf_dir, warehouse)
+    rows = [(i, *ingest(warehouse, docs[issue], _times(i)))
             for i, issue in enumerate(BATCHES)]
     return spark.createDataFrame(
         rows, "run int, windows long, submitted long, inserted long, changed long, "
@@ -99,19 +106,21 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fct_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact brought up to date after each batch."""
-    warehouse, docs = scratch_warehouse(spark), documents(spark, sf_dir)
+    warehouse = scratch_warehouse(spark)
+    docs = _fetched(spark, sf_dir, warehouse)
     for i, issue in enumerate(BATCHES[:2]):
-        ingest(warehouse, _batch(docs, issue), _times(i))
+        ingest(warehouse, docs[issue], _times(i))
         build_star(warehouse)
     return plain(warehouse.read("fct_hourly_readings").drop("source_response_id", "utc_date"))
 
 
 def fct_schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model gains a column before the second increment."""
-    warehouse, docs = scratch_warehouse(spark), documents(spark, sf_dir)
-    ingest(warehouse, _batch(docs, 0), _times(0))
+    warehouse = scratch_warehouse(spark)
+    docs = _fetched(spark, sf_dir, warehouse)
+    ingest(warehouse, docs[0], _times(0))
     build_star(warehouse)
-    ingest(warehouse, _batch(docs, 1), _times(1))
+    ingest(warehouse, docs[1], _times(1))
     changed = warehouse.read("hourly_readings").filter(
         F.col("loaded_at") >= F.lit(str(_times(1))).cast("timestamp"))
     batch = fact(staged_readings(changed), warehouse.read("dim_pollutant")).withColumn(
@@ -124,10 +133,11 @@ def fct_schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batches as files in a landing folder, taken up by a stream."""
-    warehouse, docs = scratch_warehouse(spark), documents(spark, sf_dir)
+    warehouse = scratch_warehouse(spark)
+    docs = _fetched(spark, sf_dir, warehouse)
     folder = f"{warehouse.root}/landing"
     for i, issue in enumerate(BATCHES):
-        _batch(docs, issue).write.mode("append").parquet(folder)
+        docs[issue].write.mode("append").parquet(folder)
         query = start_upserts(warehouse, envelope_stream(spark, folder),
                               f"{warehouse.root}/progress", clock=_times, star=False)
         query.awaitTermination()
