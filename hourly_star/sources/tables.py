@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +32,8 @@ class Warehouse:
 
     def staging_path(self, step: str) -> str:
         """Where a step keeps its intermediate rows; one run's worth at most."""
-        return f"{shared_dir(self.spark)}/{self.prefix or 'main_'}steps/{step}"
+        owner = hashlib.md5(f"{self.root} {self.prefix}".encode()).hexdigest()[:12]
+        return f"{shared_dir(self.spark)}/hourly_star_{owner}/{step}"
 
     def create(self) -> "Warehouse":
         """Create what is missing; what exists is left as it is."""
@@ -110,6 +113,7 @@ class Warehouse:
         # The rows may belong to another session, as those of a micro-batch do.
         with partition_overwrite(df.sparkSession, mode):
             ordered.write.insertInto(self.name(table), overwrite=True)
+        self.spark.catalog.refreshTable(self.name(table))
 
 
 def _column_ddl(field: T.StructField) -> str:

@@ -49,14 +49,14 @@ def body(times=None, values=None, units=None, offset=0, drop=(), **series):
     }, ensure_ascii=False)
 
 
-def responses(spark, *bodies, location="cairo", at=NOW):
+def responses(spark, *bodies, location="giza", at=NOW):
     rows = [(i + 1, location, text, at) for i, text in enumerate(bodies)]
     return spark.createDataFrame(
         rows, "response_id long, location_code string, payload string, ingested_at timestamp_ntz"
     ).withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
 
 
-def envelopes(spark, *bodies, location="cairo", day=date(2026, 9, 19), fetched=NOW):
+def envelopes(spark, *bodies, location="giza", day=date(2026, 9, 19), fetched=NOW):
     rows = [(f"doc-{i}", location, f"https://example.invalid/{i}", "{}", day, day, 200, fetched,
              text if isinstance(text, (bytes, bytearray)) else bytearray(text.encode()))
             for i, text in enumerate(bodies)]

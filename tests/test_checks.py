@@ -17,7 +17,7 @@ NOW = datetime(2026, 9, 20, 10)
 
 
 def tables(spark, value=20.0, age=timedelta(0), loaded=NOW, code="pm2_5"):
-    rows = [("cairo", code, NOW - age - timedelta(hours=i), value if i == 0 else 5.0, "ug/m3", i, loaded)
+    rows = [("giza", code, NOW - age - timedelta(hours=i), value if i == 0 else 5.0, "ug/m3", i, loaded)
             for i in range(30)]
     readings = fold(submissions(spark, rows))
     pollutants = reference.seed(spark)

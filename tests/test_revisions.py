@@ -17,7 +17,7 @@ def at(i):
 
 
 def rows_of(values, start=0, code="pm10"):
-    return [("cairo", code, HOUR, v, "ug/m3", start + i, at(start + i))
+    return [("giza", code, HOUR, v, "ug/m3", start + i, at(start + i))
             for i, v in enumerate(values)]
 
 
@@ -45,7 +45,7 @@ def random_rows(seed, n=400, first=0):
     for i in range(first, first + n):
         # A third of all submissions go to one reading.
         hot = rnd.random() < 0.34
-        key = ("cairo", "pm10", HOUR) if hot else (
+        key = ("giza", "pm10", HOUR) if hot else (
             rnd.choice("ab"), rnd.choice(["pm10", "ozone"]), HOUR + timedelta(hours=rnd.randrange(9)))
         out.append((*key, rnd.choice([None, 1.5, 2.5]), rnd.choice(["ug/m3", "ug/m3", "mg/m3"]),
                     i, at(i)))
@@ -97,12 +97,12 @@ def test_a_reading_twice_in_one_response_is_counted(spark):
 @pytest.mark.parametrize("segment", [1, 2, 1 << 18])
 def test_there_and_back_is_a_change(spark, segment):
     got = as_table(fold(submissions(spark, rows_of([1, 2, 1])), segment))
-    assert got[("cairo", "pm10", HOUR)] == (Decimal("1.000"), "ug/m3", 2, at(0), at(2))
+    assert got[("giza", "pm10", HOUR)] == (Decimal("1.000"), "ug/m3", 2, at(0), at(2))
 
 
 def test_repeats_do_not_move_the_load_time(spark):
     got = as_table(fold(submissions(spark, rows_of([None, None, 4, 4, 4]))))
-    assert got[("cairo", "pm10", HOUR)] == (Decimal("4.000"), "ug/m3", 2, at(0), at(2))
+    assert got[("giza", "pm10", HOUR)] == (Decimal("4.000"), "ug/m3", 2, at(0), at(2))
 
 
 def test_a_table_row_that_comes_back_in_one_batch(spark):
@@ -122,7 +122,7 @@ def test_unit_change_alone_is_a_change(spark):
     rows = rows_of([1, 1])
     rows[1] = (*rows[1][:4], "mg/m3", *rows[1][5:])
     got = as_table(fold(submissions(spark, rows)))
-    assert got[("cairo", "pm10", HOUR)][1:3] == ("mg/m3", 1)
+    assert got[("giza", "pm10", HOUR)][1:3] == ("mg/m3", 1)
 
 
 def test_revised(spark):

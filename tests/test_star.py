@@ -15,7 +15,7 @@ from hourly_star.sources.fixture import profile, seeded_readings
 NOW = datetime(2026, 9, 20, 10, 25)
 
 
-def series(spark, hours, code="pm2_5", location="cairo"):
+def series(spark, hours, code="pm2_5", location="giza"):
     """`hours` maps an hour to its value."""
     return fold(submissions(spark, [
         (location, code, at, value, "ug/m3", i, NOW) for i, (at, value) in enumerate(hours.items())]))
@@ -97,11 +97,11 @@ def test_reading_key(spark):
     import hashlib
 
     rows, _, _ = star_of(spark, series(spark, hourly(datetime(2026, 9, 19, 4), 1)))
-    assert rows.first().reading_key == hashlib.md5(b"cairo|pm2_5|2026-09-19 04:00:00").hexdigest()
+    assert rows.first().reading_key == hashlib.md5(b"giza|pm2_5|2026-09-19 04:00:00").hexdigest()
 
 
 def test_fixture(spark):
-    place = spark.createDataFrame([("cairo", 1, NOW)],
+    place = spark.createDataFrame([("giza", 1, NOW)],
                                   "location_code string, response_id long, now timestamp_ntz")
     rows = seeded_readings(place.withColumn("now", F.col("now").cast("timestamp")),
                            reference.seed(spark))

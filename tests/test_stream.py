@@ -61,7 +61,7 @@ def test_single_document_files(spark, warehouse, tmp_path):
     folder.mkdir()
     (folder / "a.json").write_text(body(DAY, [1.0] * 24))
     manifest = spark.createDataFrame(
-        [(f"{n}.json", "cairo", f"https://example.invalid/{n}", "{}", date(2026, 9, 19),
+        [(f"{n}.json", "giza", f"https://example.invalid/{n}", "{}", date(2026, 9, 19),
           date(2026, 9, 19), 200) for n in "ab"],
         "document string, location_code string, request_url string, request_params string, "
         "window_start date, window_end date, http_status int")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import CODES, UNITS, body, envelopes, utc
 from hourly_star.operators.constraints import ConstraintViolation
 from hourly_star.operators.parse import UpstreamDataError
+from hourly_star.plans.daily import CheckFailure, daily_run, raise_on_failure
 from hourly_star.plans.ingest import dry_run, ingest, replay, store_reference
 from hourly_star.plans.star import build_star, fact, staged_readings
 from hourly_star.operators.incremental import drift, merge, watermark
@@ -268,7 +269,7 @@ def test_files_and_manifest(spark, warehouse, tmp_path):
     text = body(DAY, values()).encode()
     (folder / "a.json").write_bytes(text)
     manifest = spark.createDataFrame(
-        [("a.json", "cairo", "https://example.invalid/a", "{}", date(2026, 9, 19),
+        [("a.json", "giza", "https://example.invalid/a", "{}", date(2026, 9, 19),
           date(2026, 9, 19), 200)],
         "document string, location_code string, request_url string, request_params string, "
         "window_start date, window_end date, http_status int")
@@ -276,3 +277,14 @@ def test_files_and_manifest(spark, warehouse, tmp_path):
     assert result.inserted == 96
     assert warehouse.read("responses").first().payload_sha256 == hashlib.sha256(text).hexdigest()
     assert warehouse.read("responses").first().payload.encode() == text
+
+
+def test_daily_run(spark, warehouse):
+    fresh = datetime(2026, 9, 20, 3)
+    summary, results = daily_run(warehouse, envelopes(spark, body(DAY, values())), fresh)
+    assert summary.inserted == 96 and results.filter("NOT passed").isEmpty()
+    raise_on_failure(results)
+    _, results = daily_run(warehouse, envelopes(spark, body(DAY, values(h4=1500.0))),
+                           fresh + timedelta(days=1))
+    with pytest.raises(CheckFailure, match="within_pollutant_bounds"):
+        raise_on_failure(results)

@@ -51,7 +51,7 @@ def test_chunk_must_be_positive(spark, chunk):
 
 def locations(spark, days):
     return spark.createDataFrame(
-        [("cairo", 30.0444, 31.2357, "Africa/Cairo", [5, 6], days)], LOCATIONS)
+        [("giza", 30.0444, 31.2357, "Africa/Cairo", [5, 6], days)], LOCATIONS)
 
 
 @pytest.mark.parametrize("days, as_of, start", [

@@ -11,6 +11,7 @@ from hourly_star.operators.parse import (
     dropped_forecast, parse_responses, readings, rejected,
 )
 from hourly_star.operators.incremental import merge
+from hourly_star.plans.daily import daily_run
 from hourly_star.plans.ingest import dry_run, ingest, replay
 from hourly_star.plans.star import build_star, fact, staged_readings, with_lineage
 from hourly_star.schemas import FACT_KEY
@@ -18,6 +19,7 @@ from hourly_star.session import shared_dir
 from hourly_star.sources.landing import ENVELOPE, land
 from hourly_star.sources.tables import Warehouse
 from hourly_star.streaming.upsert_stream import envelope_stream, start_upserts
+from workloads.star import star_checks_sql
 from workloads.mapping import (
     CODES, DEFECTS, DOCS_SQL, KEYS, UNITS, documents, dates_sql, envelopes, fact_sql, fold_sql,
     plain, pollutants_sql, scratch_warehouse, sub_sql,
@@ -144,8 +146,17 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(warehouse)
 
 
+def daily_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two daily runs; the checks as of the second one."""
+    warehouse = scratch_warehouse(spark)
+    docs = _fetched(spark, sf_dir, warehouse)
+    for i, issue in enumerate(BATCHES[:2]):
+        _, results = daily_run(warehouse, docs[issue], _times(i))
+    return results
+
+
 QUERIES = {f.__name__: f for f in (
-    parse_forecast_drop, guard_violations, dry_run_counts, upsert_tables, raw_replay, run_summary,
+    daily_checks, parse_forecast_drop, guard_violations, dry_run_counts, upsert_tables, raw_replay, run_summary,
     fct_incremental, fct_schema_append, stream_upsert,
 )}
 QUERIES["parse_responses"] = parsed_responses
@@ -176,6 +187,7 @@ _REASONS = " ".join(f"WHEN {k} THEN '{reason}'" for k, reason in (
 _REASON = f"CASE doc_id % {DEFECTS} {_REASONS} END"
 
 ORACLES = {
+    "daily_checks": star_checks_sql(_TWO, str(_times(1))),
     "parse_responses": f"""{_DOCS} SELECT doc_id AS response_id, location_code, pollutant_code,
         measured_at_utc, value, unit, ingested_at FROM cells""",
     "parse_forecast_drop": f"""{_DOCS} SELECT doc_id AS response_id, location_code,

@@ -201,7 +201,8 @@ def _check_sql(name: str, target: str, offending: str, severity: str = "error")
             f"CAST(({offending}) AS BIGINT) AS offending")
 
 
-def _star_checks_sql() -> str:
+def star_checks_sql(star_text: str, as_of: str) -> str:
+    """Every declared check over the tables `star_text` defines."""
     tables = {"hourly_readings": "folded", "pollutants": "pollutant_rows",
               "stg_hourly_readings": "staged", "dim_date": "dates", "dim_pollutant": "pollutants",
               "fct_hourly_readings": "fct"}
@@ -218,11 +219,11 @@ def _star_checks_sql() -> str:
             "SELECT count(*) FROM fct JOIN pollutants USING (pollutant_key) "
             "WHERE concentration > plausible_max",
         "readings_are_recent":
-            f"SELECT CASE WHEN TIMESTAMP '{LATER}' - max(measured_at_utc) > INTERVAL 48 HOUR "
+            f"SELECT CASE WHEN TIMESTAMP '{as_of}' - max(measured_at_utc) > INTERVAL 48 HOUR "
             "THEN 1 ELSE 0 END FROM fct",
     }
     parts = []
-    for check in declared_checks(LATER):
+    for check in declared_checks(as_of):
         source = tables[check.table]
         column = check.name.split(check.table + "_", 1)[-1]
         if check.name in special:
@@ -240,10 +241,10 @@ def _star_checks_sql() -> str:
                    f"AND {child} NOT IN (SELECT {field} FROM {to})")
         parts.append(_check_sql(check.name, check.table, sql))
     parts.append(_check_sql("source_freshness", "hourly_readings",
-                            f"SELECT CASE WHEN TIMESTAMP '{LATER}' - max(loaded_at) > "
+                            f"SELECT CASE WHEN TIMESTAMP '{as_of}' - max(loaded_at) > "
                             "INTERVAL 26 HOUR THEN 1 ELSE 0 END FROM folded"))
     union = " UNION ALL ".join(parts)
-    return f"""{BOUNDED},
+    return f"""{star_text},
         pollutant_rows AS (SELECT *, pollutant_key AS pollutant_code FROM pollutants),
         staged AS (SELECT * FROM fct_staged), results AS ({union})
         SELECT *, offending = 0 AS passed FROM results"""
@@ -342,4 +343,4 @@ ORACLES = {
         FROM m CROSS JOIN (VALUES ('2024-01-31 12:00:00'), ('2024-02-01 12:00:00'), ('{LATER}'))
           AS a(as_of)""",
 }
-ORACLES["star_checks"] = _star_checks_sql()
+ORACLES["star_checks"] = star_checks_sql(BOUNDED, LATER)
