@@ -74,13 +74,15 @@ def _guarded(responses: DataFrame, codes: list[str], expected: dict[str, str],
              as_of: str | Column) -> DataFrame:
     limit = F.col(as_of) if isinstance(as_of, str) else as_of
     doc = F.col("doc")
+    status = F.col("http_status") if "http_status" in responses.columns else F.lit(200)
     decoded = responses.select(
         "response_id", "location_code", "ingested_at", limit.alias("as_of"),
+        status.alias("http_status"),
         F.from_json("payload", payload_schema(codes), JSON_OPTIONS).alias("doc"),
     )
     hourly = doc["hourly"]
     fields = decoded.select(
-        "response_id", "location_code", "ingested_at", "as_of",
+        "response_id", "location_code", "ingested_at", "as_of", "http_status",
         (doc.isNull() | doc["_corrupt_record"].isNotNull()).alias("malformed"),
         doc["utc_offset_seconds"].alias("utc_offset"),
         F.transform(hourly["time"], lambda t: F.try_to_timestamp(t, F.lit(TIME_PATTERN)))
@@ -101,6 +103,8 @@ def _first_error(codes: list[str], expected: dict[str, str]) -> Column:
         return F.when(condition, F.lit(reason))
 
     guards = [
+        # Bodies of failed requests are landed for the record, never loaded.
+        fails(F.col("http_status") >= 400, "http_error"),
         # A value of a wrong JSON type turns its whole array into NULL, so a
         # body that does not decode in full is refused before anything else.
         fails(F.col("malformed"), "malformed"),

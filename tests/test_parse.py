@@ -3,6 +3,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import CODES, NOW, UNITS, body, responses, utc
 from hourly_star.operators.parse import (
@@ -130,3 +131,10 @@ def test_document_is_decoded_once(spark, capsys):
     readings(parsed(spark, body(), at=NOW)).explain()
     plan = capsys.readouterr().out
     assert plan.count("from_json(") == 1
+
+
+def test_failed_requests_are_refused(spark):
+    rows = responses(spark, body(), body()).withColumn(
+        "http_status", F.when(F.col("response_id") == 2, 503).otherwise(200))
+    p = parse_responses(rows, CODES, UNITS)
+    assert [(r.response_id, r.guard_error) for r in rejected(p).collect()] == [(2, "http_error")]

@@ -17,7 +17,7 @@ from hourly_star.operators.revisions import fold
 from hourly_star.plans.ingest import store_reference
 from hourly_star.plans.star import dim_date, dim_pollutant, fact, staged_readings
 from hourly_star.schemas import CONCENTRATION
-from hourly_star.session import prepare, shared_dir
+from hourly_star.session import prepare, shared_dir, stage
 from hourly_star.sources import reference
 from hourly_star.sources.tables import Warehouse
 
@@ -110,9 +110,16 @@ def reference_rows(spark: SparkSession, plausible_max: float | None = None) -> D
     return rows.withColumn("plausible_max", F.lit(plausible_max).cast(CONCENTRATION))
 
 
-def star(spark: SparkSession, sf_dir: str, plausible_max: float | None = None) -> dict:
-    """All tables of the star, built lazily."""
+def star(spark: SparkSession, sf_dir: str, plausible_max: float | None = None,
+         stored: bool = False) -> dict:
+    """All tables of the star.
+
+    `stored` readings are written once, for queries that read the star several
+    times; else everything stays lazy.
+    """
     readings = fold(submissions(spark, sf_dir))
+    if stored:
+        readings = stage(readings, f"{shared_dir(spark)}/run_{uuid.uuid4().hex[:12]}/readings")
     pollutants = reference_rows(spark, plausible_max)
     staged = staged_readings(readings)
     dim = dim_pollutant(pollutants)

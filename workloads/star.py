@@ -165,7 +165,7 @@ def _seconds(interval: str) -> F.Column:
 
 def star_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The declared checks and source freshness, some of which fail here."""
-    return check_star(star(spark, sf_dir, BOUND), LATER)
+    return check_star(star(spark, sf_dir, BOUND, stored=True), LATER)
 
 
 QUERIES = {f.__name__: f for f in (
