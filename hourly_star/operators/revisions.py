@@ -27,26 +27,32 @@ def _changed(before: str, after: str) -> Column:
     return differs(a["value"], b["value"]) | differs(a["unit"], b["unit"])
 
 
-def _compared(submissions: DataFrame, segment: int) -> DataFrame:
+def _grouping(segment: int | None) -> list[str]:
+    return KEY if segment is None else [*KEY, "segment"]
+
+
+def _compared(submissions: DataFrame, segment: int | None) -> DataFrame:
     """Each submission next to the one before it in its segment."""
-    w = Window.partitionBy(*KEY, "segment").orderBy("response_id")
-    rows = submissions.select(
-        *KEY, F.expr(f"response_id div {segment}").alias("segment"),
-        "response_id", "ingested_at", "value", "unit",
-    )
+    group = _grouping(segment)
+    w = Window.partitionBy(*group).orderBy("response_id")
+    rows = submissions if segment is None else submissions.withColumn(
+        "segment", F.expr(f"response_id div {segment}"))
     beside = rows.select(
-        "*", F.lag("value").over(w).alias("before_value"), F.lag("unit").over(w).alias("before_unit"),
+        *group, "response_id", "ingested_at", "value", "unit",
+        F.lag("value").over(w).alias("before_value"),
+        F.lag("unit").over(w).alias("before_unit"),
         F.lag("response_id").over(w).alias("before_id"))
     moved = F.col("before_id").isNotNull() & (
-        differs(F.col("before_value"), F.col("value")) | differs(F.col("before_unit"), F.col("unit")))
-    return beside.select(*KEY, "segment", "response_id", "ingested_at", "before_id",
+        differs(F.col("before_value"), F.col("value"))
+        | differs(F.col("before_unit"), F.col("unit")))
+    return beside.select(*group, "response_id", "ingested_at", "before_id",
                          F.struct("value", "unit").alias("now"), moved.alias("moved"))
 
 
-def _segments(compared: DataFrame) -> DataFrame:
-    """One row per reading and segment, next to the end of the segment before."""
+def _reduced(compared: DataFrame, segment: int | None) -> DataFrame:
+    """One row per reading and segment. Grouped as it was compared: no shuffle."""
     origin = F.struct("response_id", "ingested_at")
-    reduced = compared.groupBy(*KEY, "segment").agg(
+    return compared.groupBy(*_grouping(segment)).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if("moved").alias("n_moved"),
         F.count_if(F.col("before_id") == F.col("response_id")).alias("n_repeated"),
@@ -55,6 +61,10 @@ def _segments(compared: DataFrame) -> DataFrame:
         F.max_by("now", "response_id").alias("last"),
         F.max(F.when(F.col("moved"), origin)).alias("moved_origin"),
     )
+
+
+def _chained(reduced: DataFrame) -> DataFrame:
+    """Each segment next to the end of the one before."""
     w = Window.partitionBy(*KEY).orderBy("segment")
     return (
         reduced.withColumn("earlier", F.lag("last").over(w))
@@ -63,38 +73,47 @@ def _segments(compared: DataFrame) -> DataFrame:
     )
 
 
-def collapse(submissions: DataFrame, segment: int = SEGMENT) -> DataFrame:
+def segment_for(n_responses: int) -> int | None:
+    """None, for no segments, when so few responses cannot make a group too large."""
+    return None if n_responses <= SEGMENT else SEGMENT
+
+
+def collapse(submissions: DataFrame, segment: int | None = SEGMENT) -> DataFrame:
     """One row per reading: its first and last state and its last change.
 
     `submissions` has the key, value, unit, response_id and ingested_at. Ids
     grow with arrival, so the order of the ids is the order of the upserts.
     `n_changes` counts the changes after the first submission, and
     `n_repeated` the submissions that repeat a key within one response.
+    Without segments there is one shuffle instead of two; that is for batches
+    known to have few responses, see `segment_for`.
     """
-    here = F.coalesce(F.col("moved_origin"), F.when(F.col("entered"), F.col("first_origin")))
-    folded = _segments(_compared(submissions, segment)).groupBy(*KEY).agg(
-        F.sum("n").alias("n_submitted"),
-        F.sum(F.col("n_moved") + F.col("entered").cast("int")).alias("n_changes"),
-        F.sum("n_repeated").alias("n_repeated"),
-        F.min_by("first", "segment").alias("first"),
-        F.min("first_origin").alias("first_origin"),
-        F.max_by("last", "segment").alias("last"),
-        F.max(here).alias("change"),
-    )
+    folded = _reduced(_compared(submissions, segment), segment)
+    if segment is not None:
+        here = F.coalesce(F.col("moved_origin"), F.when(F.col("entered"), F.col("first_origin")))
+        folded = _chained(folded).groupBy(*KEY).agg(
+            F.sum("n").alias("n"),
+            F.sum(F.col("n_moved") + F.col("entered").cast("int")).alias("n_moved"),
+            F.sum("n_repeated").alias("n_repeated"),
+            F.min_by("first", "segment").alias("first"),
+            F.min("first_origin").alias("first_origin"),
+            F.max_by("last", "segment").alias("last"),
+            F.max(here).alias("moved_origin"),
+        )
     return folded.select(
-        *KEY, "n_submitted", "n_changes", "n_repeated",
+        *KEY, F.col("n").alias("n_submitted"), F.col("n_moved").alias("n_changes"), "n_repeated",
         F.col("first")["value"].alias("first_value"),
         F.col("first")["unit"].alias("first_unit"),
         F.col("first_origin")["response_id"].alias("first_response_id"),
         F.col("first_origin")["ingested_at"].alias("first_ingested_at"),
         F.col("last")["value"].alias("value"),
         F.col("last")["unit"].alias("unit"),
-        F.col("change")["response_id"].alias("change_response_id"),
-        F.col("change")["ingested_at"].alias("change_ingested_at"),
+        F.col("moved_origin")["response_id"].alias("change_response_id"),
+        F.col("moved_origin")["ingested_at"].alias("change_ingested_at"),
     )
 
 
-def fold(submissions: DataFrame, segment: int = SEGMENT) -> DataFrame:
+def fold(submissions: DataFrame, segment: int | None = SEGMENT) -> DataFrame:
     """State of the readings table after upserting all submissions in turn."""
     return collapse(submissions, segment).select(
         *KEY, "value", "unit",
@@ -112,7 +131,7 @@ def revision_log(submissions: DataFrame, target: DataFrame | None = None,
         *KEY, "response_id", "ingested_at", "now",
         F.when(F.col("moved"), UPDATED).otherwise(UNCHANGED).alias("action"),
     )
-    edges = _segments(compared).select(
+    edges = _chained(_reduced(compared, segment)).select(
         *KEY, F.col("first_origin")["response_id"].alias("response_id"),
         F.col("first_origin")["ingested_at"].alias("ingested_at"),
         F.col("first").alias("now"), "position", "earlier", "entered",

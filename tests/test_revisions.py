@@ -52,7 +52,7 @@ def random_rows(seed, n=400, first=0):
     return out
 
 
-@pytest.mark.parametrize("segment", [1, 2, 7, 64, 1 << 18])
+@pytest.mark.parametrize("segment", [1, 2, 7, 64, 1 << 18, None])
 def test_fold_equals_upserts_in_turn(spark, segment):
     rows = random_rows(1)
     assert as_table(fold(submissions(spark, rows), segment)) == simulate(rows)[0]
@@ -68,7 +68,7 @@ def test_log_equals_upserts_in_turn(spark, segment):
     assert got == expected
 
 
-@pytest.mark.parametrize("segment", [3, 1 << 18])
+@pytest.mark.parametrize("segment", [3, 1 << 18, None])
 def test_fold_over_a_table_equals_fold_of_everything(spark, segment):
     first, second = random_rows(4, 150), random_rows(5, 250, first=150)
     table, batch = fold(submissions(spark, first)), submissions(spark, second)
@@ -94,7 +94,7 @@ def test_a_reading_twice_in_one_response_is_counted(spark):
     assert counters(merge_actions(target, submissions(spark, rows))).first().repeated == 1
 
 
-@pytest.mark.parametrize("segment", [1, 2, 1 << 18])
+@pytest.mark.parametrize("segment", [1, 2, 1 << 18, None])
 def test_there_and_back_is_a_change(spark, segment):
     got = as_table(fold(submissions(spark, rows_of([1, 2, 1])), segment))
     assert got[("giza", "pm10", HOUR)] == (Decimal("1.000"), "ug/m3", 2, at(0), at(2))
@@ -128,3 +128,13 @@ def test_unit_change_alone_is_a_change(spark):
 def test_revised(spark):
     rows = rows_of([1, 2]) + rows_of([1, 1], code="ozone")
     assert [r.pollutant_code for r in revised(fold(submissions(spark, rows))).collect()] == ["pm10"]
+
+
+def test_few_responses_need_one_shuffle(spark, capsys):
+    from hourly_star.operators.revisions import SEGMENT, segment_for
+
+    rows = submissions(spark, rows_of([1, 2]))
+    assert segment_for(SEGMENT) is None and segment_for(SEGMENT + 1) == SEGMENT
+    for segment, shuffles in ((None, 1), (SEGMENT, 2)):
+        fold(rows, segment).explain()
+        assert capsys.readouterr().out.count("Exchange hashpartitioning") == shuffles
