@@ -288,3 +288,23 @@ def test_daily_run(spark, warehouse):
                            fresh + timedelta(days=1))
     with pytest.raises(CheckFailure, match="within_pollutant_bounds"):
         raise_on_failure(results)
+
+
+def test_checks_of_changed_days(spark, warehouse):
+    old = [t.replace("09-19", "08-01") for t in DAY]
+    ingest(warehouse, envelopes(spark, body(old, values(h4=1500.0))), T - timedelta(days=1))
+    build_star(warehouse)
+
+    def failed(hours, series, n):
+        _, results = daily_run(warehouse, envelopes(spark, body(hours, series)),
+                               T + timedelta(hours=n), check_all=False)
+        assert results.count() == 41
+        return {r["check"] for r in results.filter("NOT passed").collect()}
+
+    # The bad value of August is not looked at again until its day changes.
+    assert failed(DAY, values(), 0) == set()
+    assert failed(DAY, values(), 1) == set()
+    # A batch of late documents only does not make the data look old.
+    late = [t.replace("09-19", "08-02") for t in DAY]
+    assert failed(late, values(), 2) == set()
+    assert failed(old, values(h4=1500.0, h5=4.5), 3) == {"concentration_within_pollutant_bounds"}
