@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourly_star.functions.predicates import differs
 from hourly_star.operators.upsert import in_days
 from hourly_star.session import stage
 from hourly_star.sources.tables import Warehouse, by_partition
@@ -37,15 +38,33 @@ def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataF
             .unionByName(batch, allowMissingColumns=True))
 
 
+def news(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the batch the target does not hold in just this form.
+
+    The inclusive watermark brings rows back that were written before. Leaving
+    them out changes no result and keeps their days from being rewritten.
+    """
+    others = [c for c in target.columns if c not in keys]
+    held = target.select(*keys, F.struct(*others).alias("held"))
+    changed = F.col("held").isNull()
+    for c in others:
+        changed = changed | differs(F.col("held")[c], F.col(c))
+    return batch.join(held, keys, "left").filter(changed).select(*batch.columns)
+
+
 def merge(warehouse: Warehouse, table: str, batch: DataFrame, keys: list[str],
           part: str = "utc_date") -> int:
-    """Delete+insert on the partitions the batch touches; returns the batch size."""
+    """Delete+insert on the days with news; returns the number of rows written."""
     warehouse.add_columns(table, batch)
-    staged = stage(batch, warehouse.staging_path(f"merge_{table}"))
-    n = staged.count()
+    target = warehouse.read(table)
+    gone = [f for f in target.schema if f.name not in batch.columns]
+    batch = batch.withColumns({f.name: F.lit(None).cast(f.dataType) for f in gone})
+    touched = in_days(target, batch.select(part).distinct(), part)
+    fresh = stage(news(touched, batch, keys), warehouse.staging_path(f"merge_{table}"))
+    n = fresh.count()
     if n:
-        touched = in_days(warehouse.read(table), staged.select(part).distinct(), part)
-        merged = delete_insert(touched, staged, keys)
+        rewritten = in_days(target, fresh.select(part).distinct(), part)
+        merged = delete_insert(rewritten, fresh, keys)
         warehouse.replace_partitions(table, by_partition(merged, part, *keys))
     return n
 
