@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +31,13 @@ def iso_day_of_week(day: Column) -> Column:
     return F.weekday(day) + 1
 
 
+def is_weekend(day: Column, weekend: Iterable[int] | Column) -> Column:
+    """Whether a day is one of the given ISO days of the week."""
+    if isinstance(weekend, Column):
+        return F.array_contains(weekend, iso_day_of_week(day))
+    return iso_day_of_week(day).isin(list(weekend))
+
+
 def padded_name(day: Column, pattern: str, padding: bool = True) -> Column:
     """English month or day name; padded to nine characters unless told not to."""
     name = F.date_format(day, pattern)

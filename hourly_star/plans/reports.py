@@ -40,6 +40,14 @@ def weekend_profile(fact: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
+def local_weekend_profile(staged: DataFrame) -> DataFrame:
+    """Weekend against weekdays per location, each by its own calendar."""
+    return staged.groupBy("location_code", "is_weekend_local").agg(
+        exact_mean(F.col("concentration")).alias("mean_concentration"),
+        F.count("concentration").alias("n_known"),
+    )
+
+
 def gap_report(fact: DataFrame, dates: DataFrame, pollutants: DataFrame,
                zone: str = TIME_ZONE) -> DataFrame:
     """Hours without a value and hours without a row, per series and local day.

@@ -7,7 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourly_star.functions.calendar import date_key, iso_day_of_week, local_time, padded_name
+from hourly_star.functions.calendar import (
+    date_key, is_weekend, iso_day_of_week, local_time, padded_name,
+)
 from hourly_star.functions.keys import reading_key
 from hourly_star.functions.predicates import exceeds
 from hourly_star.operators.constraints import enforce_domain
@@ -36,6 +38,23 @@ def staged_readings(readings: DataFrame, zone: str | Column = TIME_ZONE) -> Data
     )
 
 
+def staged_by_location(readings: DataFrame, locations: DataFrame) -> DataFrame:
+    """The staging view with every location on its own clock and weekend.
+
+    `locations` has a time zone and weekend days per location; where it has
+    none, the common calendar applies.
+    """
+    calendar = locations.select("location_code", "time_zone", "weekend_days")
+    placed = readings.join(calendar, "location_code", "left")
+    zone = F.coalesce("time_zone", F.lit(TIME_ZONE))
+    weekend = F.coalesce("weekend_days", F.array(*[F.lit(d) for d in WEEKEND]))
+    kept = staged_readings(placed, zone).columns
+    local = placed.withColumn("measured_at_local", local_time(F.col("measured_at_utc"), zone)) \
+        .withColumnRenamed("value", "concentration")
+    return local.select(*kept, is_weekend(F.col("measured_at_local"), weekend)
+                        .alias("is_weekend_local"))
+
+
 def dim_date(staged: DataFrame, weekend: Iterable[int] = WEEKEND,
              padding: bool = True) -> DataFrame:
     """One row per local calendar day between the first and the last reading."""
@@ -53,7 +72,7 @@ def dim_date(staged: DataFrame, weekend: Iterable[int] = WEEKEND,
         iso_day_of_week(day).alias("day_of_week"),
         padded_name(day, "EEEE", padding).alias("day_name"),
         F.weekofyear(day).alias("iso_week"),
-        iso_day_of_week(day).isin(list(weekend)).alias("is_weekend"),
+        is_weekend(day, weekend).alias("is_weekend"),
     )
 
 

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 # Time stamps are read and rendered in UTC; ANSI makes bad casts fail instead
 # of turning into NULL; adaptive execution splits skewed join and write
-# partitions.
+# partitions, also where an aggregate after the join then needs a shuffle.
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

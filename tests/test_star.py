@@ -8,9 +8,12 @@ from conftest import submissions, utc
 from hourly_star.functions.calendar import hours_in_local_day, local_time
 from hourly_star.operators.revisions import fold
 from hourly_star.plans import reports
-from hourly_star.plans.star import dim_date, dim_pollutant, fact, staged_readings
+from hourly_star.plans.star import (
+    dim_date, dim_pollutant, fact, staged_by_location, staged_readings,
+)
 from hourly_star.sources import reference
 from hourly_star.sources.fixture import profile, seeded_readings
+from hourly_star.sources.windows import LOCATIONS
 
 NOW = datetime(2026, 9, 20, 10, 25)
 
@@ -166,3 +169,16 @@ def test_mean_of_nothing_is_null(spark):
     rows, _, _ = star_of(spark, series(spark, hourly(datetime(2026, 9, 1), 3, lambda i: None)))
     assert reports.daily_mean(rows).first().mean_concentration is None
     assert reports.exceed_share(rows).first().share_above is None
+
+
+def test_each_location_on_its_own_calendar(spark):
+    # Friday 20:00 UTC is Friday in Cairo and Saturday in Tokyo.
+    at = {datetime(2026, 9, 18, 20): 1.0}
+    readings = series(spark, at).unionByName(series(spark, at, location="tokyo")).unionByName(
+        series(spark, at, location="nowhere"))
+    locations = spark.createDataFrame(
+        [("giza", 0.0, 0.0, "Africa/Cairo", [5, 6], 7), ("tokyo", 0.0, 0.0, "Asia/Tokyo", [7], 7)],
+        LOCATIONS)
+    got = {r.location_code: (r.measured_at_local.day, r.is_weekend_local)
+           for r in staged_by_location(readings, locations).collect()}
+    assert got == {"giza": (18, True), "tokyo": (19, False), "nowhere": (18, True)}

@@ -7,20 +7,22 @@ from pyspark.sql import functions as F
 
 from hourly_star.operators import checks
 from hourly_star.operators.incremental import drift
+from hourly_star.operators.revisions import fold
 from hourly_star.plans import reports
 from hourly_star.plans.quality import check_star, declared_checks
 from hourly_star.plans.star import dim_pollutant as pollutant_dimension
-from hourly_star.plans.star import fact
+from hourly_star.plans.star import fact, staged_by_location
 from hourly_star.schemas import CONCENTRATION
 from hourly_star.sources.fixture import profile
 from hourly_star.sources.reference import upserted
 from workloads.mapping import (
-    mean_sql, plain, pollutants_sql, reference_rows, star, star_sql, sub_sql, submissions, table,
+    fold_sql, mean_sql, plain, pollutants_sql, reference_rows, star, star_sql, sub_sql, submissions, table,
 )
 
 # Reports on a bound that the given values do exceed.
 BOUND = 300.0
 LATER = "2024-02-03 00:00:00"
+ZONES = ("Africa/Cairo", "Asia/Tokyo", "America/New_York")
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +67,18 @@ def weekend_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.weekend_profile(tables["fct_hourly_readings"], tables["dim_date"])
 
 
+def local_weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Locations on three clocks with two kinds of weekend."""
+    readings = fold(submissions(spark, sf_dir))
+    number = F.substring("location_code", 5, 20).cast("long")
+    zones = F.array(*[F.lit(z) for z in ZONES])
+    locations = submissions(spark, sf_dir).select("location_code").distinct().select(
+        "location_code", F.element_at(zones, (number % 3 + 1).cast("int")).alias("time_zone"),
+        F.when(number % 2 == 0, F.array(F.lit(5), F.lit(6)))
+        .otherwise(F.array(F.lit(6), F.lit(7))).alias("weekend_days"))
+    return reports.local_weekend_profile(staged_by_location(readings, locations))
+
+
 def gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = star(spark, sf_dir)
     return reports.gap_report(tables["fct_hourly_readings"], tables["dim_date"],
@@ -170,7 +184,7 @@ def star_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     dim_date, dim_pollutant, fct_readings, drift_report, load_profile, daily_mean,
-    weekend_profile, gap_report, exceed_share, rolling_guideline, hour_profile, chk_not_null,
+    weekend_profile, local_weekend, gap_report, exceed_share, rolling_guideline, hour_profile, chk_not_null,
     chk_unique, chk_unique_columns, chk_accepted_values, chk_accepted_range, chk_relationships,
     chk_row_counts, chk_plausible_bounds, chk_recency, chk_source_freshness, star_checks,
 )}
@@ -272,6 +286,18 @@ ORACLES = {
     "weekend_profile": f"""{STAR} SELECT is_weekend, pollutant_key, {_MEAN} AS mean_concentration,
         max(concentration) AS max_concentration, count(concentration) AS n_known
         FROM fct JOIN dates USING (date_key) GROUP BY is_weekend, pollutant_key""",
+    "local_weekend": f"""WITH {sub_sql()}, {fold_sql()},
+        numbered AS (SELECT *, CAST(substr(location_code, 5) AS BIGINT) AS n FROM folded),
+        local AS (SELECT *, CASE n % 3
+            WHEN 0 THEN (measured_at_utc AT TIME ZONE 'UTC') AT TIME ZONE '{ZONES[0]}'
+            WHEN 1 THEN (measured_at_utc AT TIME ZONE 'UTC') AT TIME ZONE '{ZONES[1]}'
+            ELSE (measured_at_utc AT TIME ZONE 'UTC') AT TIME ZONE '{ZONES[2]}' END AS t
+          FROM numbered),
+        named AS (SELECT location_code, value AS concentration,
+          CASE WHEN n % 2 = 0 THEN isodow(t) IN (5, 6) ELSE isodow(t) IN (6, 7) END
+            AS is_weekend_local FROM local)
+        SELECT location_code, is_weekend_local, {_MEAN} AS mean_concentration,
+          count(concentration) AS n_known FROM named GROUP BY ALL""",
     "gap_report": f"""{STAR},
         spine AS (SELECT l.location_code, p.pollutant_key, d.date_key,
           CAST(date_diff('hour', (CAST(date_day AS TIMESTAMP) AT TIME ZONE 'Africa/Cairo')
