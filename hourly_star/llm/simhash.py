@@ -173,22 +173,59 @@ def forest(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(left), np.concatenate(right)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS,
-                    radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row; see the head of the module."""
-    scratch = Scratch(spark, "simhash")
-    prints = scratch.keep(with_fingerprints(docs, words))
+def _classes(scratch: Scratch, prints: DataFrame, radius: int, bucket: int) -> DataFrame:
+    """(fp, root, component_id) for every different fingerprint of (fp, doc_id)."""
     different = scratch.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = connected_components(scratch, near_pairs(scratch, different, radius, bucket))
     linked = different.join(roots, F.col("fp") == F.col("node"), "left").withColumn(
         "root", F.coalesce("root", "fp"))
-    classes = scratch.keep(bucketed_join(
+    return scratch.keep(bucketed_join(
         linked.select("fp", "root"),
         linked.groupBy("root").agg(F.min("least").alias("component_id")), ["root"]))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS,
+                    radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row; see the head of the module."""
+    scratch = Scratch(spark, "simhash")
+    prints = scratch.keep(with_fingerprints(docs, words))
+    classes = _classes(scratch, prints, radius, bucket)
     return bucketed_join(prints, classes.select("fp", "component_id"), ["fp"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, words: int = WORDS, radius: int = RADIUS,
+                bucket: int = BUCKET) -> DataFrame:
+    """One document of each component, all columns as they were: that of the least
+    doc_id, null last, and of equal ids that of the least hash of the whole row."""
+    scratch = Scratch(spark, "simhash")
+    kept = docs.withColumn("_hash", F.xxhash64(*docs.columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()],
+                              np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)],
+                ["doc_id", "fp", "_hash"])
+
+    prints = scratch.keep(map_rows(
+        kept.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "_hash"),
+        "doc_id long, fp long, _hash long", run))
+    classes = _classes(scratch, prints, radius, bucket)
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_hash")
+    per_print = prints.groupBy("fp", "doc_id", "_hash").agg(F.count("*").alias("copies"))
+    chosen = (bucketed_join(per_print, classes.select("fp", "root"), ["fp"])
+              .groupBy("root").agg(F.min(F.struct(first.alias("first"), "copies")).alias("c"))
+              .select(F.col("c.first.doc_id").alias("_id"), F.col("c.first._hash").alias("_chosen"),
+                      "c.copies"))
+    rows = kept.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+                     & (F.col("_hash") == F.col("_chosen")))
+    # only where the very same row comes several times are rows compared
+    once = rows.where("copies = 1").select(*docs.columns)
+    return once.union(rows.where("copies > 1").select(*docs.columns).dropDuplicates())
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
