@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from hourly_star.llm import decontaminate, mixing, sharding, simhash, toxicity
+from hourly_star.llm import decontaminate, licenses, mixing, quality, sharding, simhash, toxicity
 
-MODULES = [simhash, decontaminate, toxicity, sharding, mixing]
+MODULES = [simhash, decontaminate, toxicity, sharding, quality, licenses, mixing]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
