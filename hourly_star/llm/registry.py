@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
-from hourly_star.llm import decontaminate, licenses, mixing, quality, repeats, sharding, simhash, toxicity
+from hourly_star.llm import (
+    decontaminate,
+    extract,
+    licenses,
+    mixing,
+    quality,
+    repeats,
+    sharding,
+    simhash,
+    toxicity,
+)
 
-MODULES = [simhash, decontaminate, toxicity, sharding, quality, licenses, mixing, repeats]
+MODULES = [simhash, extract, decontaminate, toxicity, sharding, quality, licenses, mixing, repeats]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
