@@ -36,7 +36,7 @@ from hourly_star.llm.page_layouts import labelled_page
 PAGES = 1_500
 STEPS = 200
 RATE = 0.15
-PENALTY = 1e-4
+PENALTY = 1e-3
 PIECE = 1 << 21  # characters of pages worked on together
 
 

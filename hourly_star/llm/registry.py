@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hourly_star.llm import (
+    chat,
     decontaminate,
     extract,
     licenses,
@@ -14,6 +15,6 @@ from hourly_star.llm import (
     toxicity,
 )
 
-MODULES = [simhash, extract, decontaminate, toxicity, sharding, quality, licenses, mixing, repeats]
+MODULES = [simhash, extract, decontaminate, toxicity, sharding, chat, quality, licenses, mixing, repeats]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
