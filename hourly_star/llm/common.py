@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -62,6 +63,8 @@ def map_rows(df: DataFrame, schema: str | T.StructType,
              function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """mapInArrow over small batches of long texts."""
     spark = df.sparkSession
+    # workers that share this file system find the package where the driver found it
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) != str(ROWS_A_BATCH):
         spark.conf.set(key, str(ROWS_A_BATCH))

@@ -70,11 +70,11 @@ class _Page:
 
     def article(self) -> str:
         rng = self.rng
-        parts = [self.tag(rng.choice(["h1", "h1", "h2"]), 1, self.words(2, 12, self.style))] if rng.random() < .85 else []
+        parts = [self.tag(rng.choice(["h1", "h1", "h2"]), 1, self.words(2, 12, self.style))] if rng.random() < .65 else []
         if rng.random() < .25 and parts:
             parts = [self.tag("header", 1, parts[0])]
         lines = rng.random() < .12  # an article of many short lines
-        for _ in range(rng.randint(5, 25) if lines else rng.choice([1, 1, 2, 3, 5, 9])):
+        for _ in range(rng.randint(5, 25) if lines else rng.choice([1, 1, 2, 2, 3, 5, 9, 20, 45])):
             draw = rng.random()
             if lines and draw < .9:
                 parts.append(f'<p data-y="1">{self.words(1, 5, self.style)}</p>')
@@ -140,13 +140,13 @@ class _Page:
         draw = self.rng.random()
         if draw < .5:
             inner += self.link_list(self.rng.randint(2, 6), 8)
-        elif draw < .8:
+        elif draw < .92:
             inner += self.tag("p", 0, self.words(5, 50))
         else:
             inner += "".join(self.tag("article", 0, self.tag("h3", 0, self.link(2, 8)) + self.tag(
                 "p", 0, self.words(4, 20)), ["card", "teaser", "related"], .9) for _ in range(self.rng.randint(2, 4)))
         return self.tag(self.rng.choice(["aside", "aside", "div", "section"]), 0, inner, SIDE_NAMES,
-                        .95 if draw < .8 else 1)
+                        .95 if draw < .92 else 1)
 
     def notice(self) -> str:
         inner = self.words(4, 40)
@@ -178,7 +178,7 @@ class _Page:
 
     def comments(self) -> str:
         rng = self.rng
-        each = rng.choice(["div", "li", "article", "p"])
+        each = rng.choice(["div", "div", "li", "li", "article", "p", "p"])
         inner = "".join(self.tag(each, 0, (self.tag("b", 0, self.word()) if rng.random() < .5 else "") + (
             self.tag("p", 0, self.words(3, 60)) if each != "p" else self.words(3, 60)), COMMENT_NAMES, .8)
             for _ in range(rng.randint(1, 6)))
@@ -201,11 +201,15 @@ def labelled_page(seed: int) -> str:
                                         (page.form, .2), (page.notice, .15)) if rng.random() < share]
     rng.shuffle(before)
     rng.shuffle(after)
+    if rng.random() < .12:  # nothing but the article
+        before, after = [], []
     middle = page.article()
     if rng.random() < .2:  # a column of the layout holds article and more
         middle = page.tag("div", 0, middle + "".join(after), ["wrapper", "container", "row", "layout", "site"], .8)
         after = []
     footer = [page.footer()] if rng.random() < .8 else []
+    if rng.random() < .1:  # a fragment
+        return "".join(before) + middle + "".join(after) + "".join(footer)
     end = "</body></html>" if rng.random() < .85 else ""
     return (f"<!DOCTYPE html><html><head><title>{page.words(2, 8)}</title><style>p{{margin:0}}</style>"
             f'<script>var t="</p>";</script></head><body data-y="0">'
