@@ -53,6 +53,13 @@ RESPONSE_RULES = [
     within("http_status", 100, 599),
 ]
 
+# What can be judged before a document is landed.
+ENVELOPE_RULES = [
+    *required("document", "location_code", "request_url", "request_params", "window_start",
+              "window_end", "http_status", "body"),
+    *RESPONSE_RULES[-2:],
+]
+
 POLLUTANT_RULES = [
     *required("pollutant_code", "display_name", "unit", "plausible_max", "sort_order"),
     positive("plausible_max"),

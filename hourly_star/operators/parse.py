@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourly_star.functions.units import normalised_unit
+from hourly_star.operators.constraints import RESPONSE_RULES
 from hourly_star.schemas import CONCENTRATION, payload_schema
 
 TIME_PATTERN = "yyyy-MM-dd'T'HH:mm"
@@ -15,6 +17,9 @@ TIME_PATTERN = "yyyy-MM-dd'T'HH:mm"
 # The smallest double that no longer rounds into decimal(10,3).
 TOO_LARGE = 9999999.9995
 
+# The greatest double that rounds to a negative decimal(10,3).
+NEGATIVE = -0.0005
+
 JSON_OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": "_corrupt_record",
@@ -77,12 +82,12 @@ def _guarded(responses: DataFrame, codes: list[str], expected: dict[str, str],
     status = F.col("http_status") if "http_status" in responses.columns else F.lit(200)
     decoded = responses.select(
         "response_id", "location_code", "ingested_at", limit.alias("as_of"),
-        status.alias("http_status"),
+        status.alias("http_status"), _broken_rule(responses.columns).alias("broken_rule"),
         F.from_json("payload", payload_schema(codes), JSON_OPTIONS).alias("doc"),
     )
     hourly = doc["hourly"]
     fields = decoded.select(
-        "response_id", "location_code", "ingested_at", "as_of", "http_status",
+        "response_id", "location_code", "ingested_at", "as_of", "http_status", "broken_rule",
         (doc.isNull() | doc["_corrupt_record"].isNotNull()).alias("malformed"),
         doc["utc_offset_seconds"].alias("utc_offset"),
         F.transform(hourly["time"], lambda t: F.try_to_timestamp(t, F.lit(TIME_PATTERN)))
@@ -94,6 +99,14 @@ def _guarded(responses: DataFrame, codes: list[str], expected: dict[str, str],
     return fields.select("*", _first_error(codes, expected).alias("guard_error"))
 
 
+def _broken_rule(columns: list[str]) -> Column:
+    """The first rule for raw rows that fails, of those whose columns are there."""
+    checked = [(name, broken) for name, broken in RESPONSE_RULES
+               if set(re.findall(r"`(\w+)`", broken)) <= set(columns)]
+    return F.coalesce(F.lit(None).cast("string"),
+                      *[F.when(F.expr(broken), F.lit(name)) for name, broken in checked])
+
+
 def _first_error(codes: list[str], expected: dict[str, str]) -> Column:
     """Reason of the first guard that fails, NULL when all pass."""
     times = F.col("times")
@@ -103,6 +116,9 @@ def _first_error(codes: list[str], expected: dict[str, str]) -> Column:
         return F.when(condition, F.lit(reason))
 
     guards = [
+        # What no run may load, replays included: one verdict for all of them.
+        F.col("broken_rule"),
+        fails(F.col("location_code").isNull(), "required:location_code"),
         # Bodies of failed requests are landed for the record, never loaded.
         fails(F.col("http_status") >= 400, "http_error"),
         # A value of a wrong JSON type turns its whole array into NULL, so a
@@ -124,6 +140,7 @@ def _first_error(codes: list[str], expected: dict[str, str]) -> Column:
     guards += [
         fails(F.exists(times, lambda t: t.isNull()), "malformed_time"),
         fails(F.size(F.array_distinct(kept)) < F.size(kept), "duplicate_time"),
+        fails(F.exists(kept, lambda t: F.date_trunc("hour", t) != t), "on_hour:measured_at_utc"),
     ]
     for i, code in enumerate(codes):
         values = F.col(f"values_{i}")
@@ -131,6 +148,11 @@ def _first_error(codes: list[str], expected: dict[str, str]) -> Column:
             (F.array_max(values) >= TOO_LARGE) | (F.array_min(values) <= -TOO_LARGE),
             f"overflow:{code}",
         ))
+    for i in range(len(codes)):
+        pairs = F.arrays_zip(times.alias("t"), F.col(f"values_{i}").alias("v"))
+        guards.append(fails(
+            F.exists(pairs, lambda p: (p["t"] <= F.col("as_of")) & (p["v"] <= NEGATIVE)),
+            "nonnegative:value"))
     return F.coalesce(*guards)
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 
-from hourly_star.plans.ingest import RunSummary, ingest
+from hourly_star.plans.ingest import ingest
 from hourly_star.plans.quality import check_changed, check_star, warehouse_tables
 from hourly_star.plans.star import TIME_ZONE, build_star
 from hourly_star.sources.tables import Warehouse
@@ -18,7 +18,7 @@ class CheckFailure(RuntimeError):
 
 def daily_run(warehouse: Warehouse, envelopes: DataFrame, batch_ts: datetime,
               batch_id: str | None = None, zone: str = TIME_ZONE,
-              strict: bool = True, check_all: bool = True) -> tuple[RunSummary, DataFrame]:
+              strict: bool = True, check_all: bool = True) -> tuple[Row, DataFrame]:
     """Ingest a batch and bring the star up to date.
 
     Returns the counters and the check results as of the batch. A step that

@@ -94,27 +94,22 @@ def rolling_guideline(fact: DataFrame, pollutants: DataFrame,
 
     The frame is a range of time, so absent hours do not stretch it; `n_known`
     of `averaging_hours` tells how much of it is covered. A series is cut into
-    blocks which are averaged apart; the rows a block needs from the one
-    before it are sent to both.
+    blocks which are averaged apart; a row is sent to every later block that
+    its own averaging period reaches, so periods may be of any length.
     """
     periods = sorted({row[0] for row in pollutants.select("who_averaging_hours")
                       .filter("who_averaging_hours IS NOT NULL").distinct().collect()})
-    reach = max(periods, default=1) - 1
-    if reach >= block_hours:
-        raise ValueError("blocks must be longer than the averaging period")
     hour, length = 3600, block_hours * 3600
     limits = pollutants.select(
         "pollutant_key", "who_guideline", F.col("who_averaging_hours").alias("averaging_hours"))
     second = F.unix_timestamp("measured_at_utc")
     own = F.expr("second div {}".format(length))
-    nearly_over = F.col("second") >= (F.col("own") + 1) * length - reach * hour
     placed = (
         fact.select(*SERIES, "measured_at_utc", "concentration", second.alias("second"))
         .join(limits, "pollutant_key")
         .withColumn("own", own)
-        .withColumn("block", F.explode(
-            F.when(nearly_over, F.array(F.col("own"), F.col("own") + 1))
-            .otherwise(F.array("own"))))
+        .withColumn("block", F.explode(F.sequence("own", F.expr(
+            f"(second + (coalesce(averaging_hours, 1) - 1) * {hour}L) div {length}"))))
     )
     total, known = F.lit(None).cast("decimal(20,3)"), F.lit(None).cast("long")
     for hours in periods:

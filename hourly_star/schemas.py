@@ -32,7 +32,7 @@ UNIT_SPELLINGS = {
 
 
 def _struct(*fields: tuple[str, T.DataType | str, str]) -> T.StructType:
-    named = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(),
+    named = {"string": T.StringType(), "binary": T.BinaryType(), "long": T.LongType(), "int": T.IntegerType(),
              "short": T.ShortType(), "date": T.DateType(), "timestamp": T.TimestampType(),
              "ntz": T.TimestampNTZType(), "boolean": T.BooleanType()}
     return T.StructType([
@@ -64,10 +64,21 @@ RESPONSES = _struct(
     ("payload", "string", "body as received"),
     ("payload_sha256", "string", "digest of the body bytes, before parsing"),
     ("ingested_at", "timestamp", "when the row landed"),
+    ("document", "string", "name of the document in its batch"),
     ("ingest_date", "date", ""),
     ("ingest_batch", "string", "landing the same batch twice keeps one copy"),
 )
 
+REFUSALS = _struct(
+    ("document", "string", ""),
+    ("location_code", "string", ""),
+    ("response_id", "long", "NULL: the envelope was refused, so the body is not in the raw log"),
+    ("reason", "string", "the first rule or guard that fails"),
+    ("body", "binary", "of a refused envelope"),
+    ("ingest_date", "date", ""),
+    ("ingest_batch", "string", ""),
+)
+
 READINGS = _struct(
     ("location_code", "string", ""),
     ("pollutant_code", "string", ""),
@@ -126,6 +137,8 @@ class Table:
 TABLES = {
     "responses": Table("raw", RESPONSES, ("ingest_date", "ingest_batch"),
                        "Append-only log of responses as received"),
+    "refusals": Table("raw", REFUSALS, ("ingest_date", "ingest_batch"),
+                      "Envelopes and responses that were refused, and why"),
     "pollutants": Table("staging", POLLUTANTS, (), "Reference domain of measured variables"),
     "hourly_readings": Table("staging", READINGS, ("utc_date",),
                              "One row per location, pollutant and hour"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourly_star.operators.constraints import duplicates, enforce_none
-from hourly_star.session import instant
+from hourly_star.session import instant, stage
 from hourly_star.sources.tables import Warehouse
 
 SOURCE = "hourly-api"
@@ -53,21 +53,31 @@ def raw_columns(source: str = SOURCE) -> list[Column]:
     ]
 
 
+def batch_name(batch_ts: datetime, batch_id: str | None) -> tuple[datetime, str]:
+    """Time of the batch in UTC, naive taken as such, and its name, by default the time."""
+    if batch_ts.tzinfo is None:
+        batch_ts = batch_ts.replace(tzinfo=timezone.utc)
+    batch_ts = batch_ts.astimezone(timezone.utc)
+    return batch_ts, batch_id or f"{batch_ts:%Y%m%dT%H%M%S%f}"
+
+
 def land(warehouse: Warehouse, envelopes: DataFrame, batch_ts: datetime,
          batch_id: str | None = None, source: str = SOURCE) -> DataFrame:
     """Append a batch to the raw log and return it as stored.
 
     Landing ends before anything is parsed, so a body that breaks the parser
-    is kept. A batch lives in a partition of its own: if it is delivered again
-    under the same name, the stored rows are returned and nothing is written.
+    is kept. A batch lives in a partition of its own. If one of the same name
+    is there already, documents are compared: those stored stay as they are,
+    new ones are added, and a document that differs from its stored namesake
+    is an error. All rows of the name are returned.
     """
-    if batch_ts.tzinfo is None:
-        batch_ts = batch_ts.replace(tzinfo=timezone.utc)
-    batch_ts = batch_ts.astimezone(timezone.utc)
-    batch_id = batch_id or f"{batch_ts:%Y%m%dT%H%M%S%f}"
+    batch_ts, batch_id = batch_name(batch_ts, batch_id)
     stored = warehouse.read("responses").filter(F.col("ingest_batch") == batch_id)
-    if not stored.isEmpty():
-        return stored
+    again = not stored.isEmpty()
+    if again:
+        envelopes = _not_stored(envelopes, stored)
+        if envelopes.isEmpty():
+            return stored
 
     top_id, newest = _high_water(warehouse)
     if newest is not None and batch_ts.replace(tzinfo=None) < newest:
@@ -77,13 +87,30 @@ def land(warehouse: Warehouse, envelopes: DataFrame, batch_ts: datetime,
         "response_id",
         *raw_columns(source),
         instant(batch_ts).alias("ingested_at"),
+        "document",
         F.lit(batch_ts.date()).alias("ingest_date"),
         F.lit(batch_id).alias("ingest_batch"),
     )
+    if again:  # the partition is written as a whole
+        rows = stage(rows.unionByName(stored), warehouse.staging_path("landing"))
     warehouse.replace_partitions("responses", rows)
     return warehouse.read("responses").filter(F.col("ingest_batch") == batch_id)
 
 
+def _not_stored(envelopes: DataFrame, stored: DataFrame) -> DataFrame:
+    """Envelopes whose document is not among the stored rows of the batch."""
+    same = ["location_code", "window_start", "window_end", "payload_sha256"]
+    arrived = envelopes.select("document", *[F.col(c) for c in same[:-1]],
+                               F.sha2("body", 256).alias("payload_sha256"))
+    held = stored.select("document", *[F.col(c).alias(f"held_{c}") for c in same])
+    alike = F.lit(True)
+    for c in same:
+        alike = alike & F.col(c).eqNullSafe(F.col(f"held_{c}"))
+    enforce_none(arrived.join(held, "document").filter(~alike).select("document"),
+                 "documents that differ from those landed under the same batch name")
+    return envelopes.join(stored.select("document"), "document", "left_anti")
+
+
 def _numbered(documents: DataFrame, top_id: int) -> DataFrame:
     """Ids that grow with the time of fetching, above all ids so far.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from hourly_star.schemas import POLLUTANT_ROWS, POLLUTANTS
+from hourly_star.operators.constraints import duplicates, enforce_none
 from hourly_star.session import stage
 from hourly_star.sources.tables import Warehouse
 
@@ -24,7 +25,8 @@ def upserted(old: DataFrame, new: DataFrame, key: str = "pollutant_code") -> Dat
 
 
 def store(warehouse: Warehouse, new: DataFrame) -> None:
-    """Upsert into staging.pollutants."""
+    """Upsert into staging.pollutants; a code occurs once in what is stored."""
+    enforce_none(duplicates(new, ["pollutant_code"]), "pollutant codes that occur twice")
     merged = stage(upserted(warehouse.read("pollutants"), new),
                    warehouse.staging_path("pollutants"))
     if merged.limit(MAX_CODES + 1).count() > MAX_CODES:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,25 +44,24 @@ def split_windows(ranges: DataFrame, chunk_days: int, start: str = "start",
 
 
 def lookback(locations: DataFrame, as_of: date | Column) -> DataFrame:
-    """The window a scheduled run asks for: `lookback_days` days ending at `as_of`."""
+    """The window a run asks for: `lookback_days` days ending at `as_of`.
+
+    A location may bring a range of its own in `from_day` and `to_day`; they
+    come together.
+    """
     last = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")
     days = F.col("lookback_days")
     first = F.when(
         days < 1, F.raise_error(F.lit("lookback must be at least one day")).cast("date")
     ).otherwise(F.date_sub(last, days - 1))
-    return locations.select("*", first.alias("start"), last.alias("end"))
-
-
-def resolve_window(as_of: date, lookback_days: int, start: date | None = None,
-                   end: date | None = None) -> tuple[date, date]:
-    """The requested range if one is given in full, else the lookback window."""
-    if (start is None) != (end is None):
-        raise ValueError("give both ends of the range or neither")
-    if start is not None:
-        return start, end
-    if lookback_days < 1:
-        raise ValueError("lookback must be at least one day")
-    return as_of - timedelta(days=lookback_days - 1), as_of
+    if not {"from_day", "to_day"} <= set(locations.columns):
+        return locations.select("*", first.alias("start"), last.alias("end"))
+    given, until = F.col("from_day"), F.col("to_day")
+    half = given.isNull() != until.isNull()
+    return locations.select(
+        "*", F.when(half, F.raise_error(F.lit("give both ends of the range or neither")).cast("date"))
+        .when(given.isNotNull(), given).otherwise(first).alias("start"),
+        F.coalesce(until, last).alias("end"))
 
 
 def request_plan(windows: DataFrame, codes: list[str], base_url: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -43,11 +44,15 @@ def start_upserts(warehouse: Warehouse, envelopes: DataFrame, checkpoint: str,
     There is no event-time watermark: a late or revised reading updates its
     row whenever it comes. Micro-batches run one after another. A batch that
     is delivered again after a crash finds its raw rows already landed, and
-    upsert and fact merge are idempotent by key.
+    upsert and fact merge are idempotent by key. Batches are named after the
+    checkpoint whose counter they follow, so streams do not meet; where a
+    checkpoint starts anew, landing compares documents and adds the new ones.
+    Without `strict`, refused documents are noted and the stream goes on.
     """
+    owner = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        ingest(warehouse, batch, clock(batch_id), f"{name}-{batch_id:09d}", strict=strict)
+        ingest(warehouse, batch, clock(batch_id), f"{name}-{owner}-{batch_id:09d}", strict=strict)
         if star:
             build_star(warehouse)
 

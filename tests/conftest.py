@@ -17,7 +17,7 @@ from hourly_star.sources.tables import Warehouse
 
 CODES = ["pm2_5", "pm10", "nitrogen_dioxide", "ozone"]
 UNITS = {code: "ug/m3" for code in CODES}
-NOW = datetime(2026, 9, 19, 12)
+NOW = datetime(2027, 3, 8, 17, 45)  # when documents of the tests land
 
 
 @pytest.fixture(scope="session")
@@ -38,15 +38,17 @@ def warehouse(spark, tmp_path):
 
 
 def body(times=None, values=None, units=None, offset=0, drop=(), **series):
-    """A response document; `values` is the array of every code unless named."""
-    times = ["2026-09-19T10:00", "2026-09-19T11:00", "2026-09-19T23:00"] if times is None else times
-    values = [1.0, None, 3.0] if values is None else values
-    hourly = {"time": times, **{code: values for code in CODES}, **series}
-    return json.dumps({
-        "utc_offset_seconds": offset,
-        "hourly_units": {code: "μg/m³" for code in CODES} if units is None else units,
-        "hourly": {k: v for k, v in hourly.items() if k not in drop},
-    }, ensure_ascii=False)
+    """A response document; `values` is the array of every code unless named.
+
+    By default two past hours of a day, the first without a value, and one to come.
+    """
+    times = [f"2027-03-08T{hour:02d}:00" for hour in (4, 15, 20)] if times is None else times
+    values = [None, 21.75, 8.5] if values is None else values
+    arrays = {"time": times} | dict.fromkeys(CODES, values) | series
+    spelled = dict(zip(CODES, ["\u03bcg/m\u00b3", "\u00b5g/m\u00b3", "ug/m3", "\u03bcg/m\u00b3"]))
+    document = {"hourly": {name: arrays[name] for name in arrays if name not in drop},
+                "hourly_units": spelled if units is None else units, "utc_offset_seconds": offset}
+    return json.dumps(document, ensure_ascii=False)
 
 
 def responses(spark, *bodies, location="giza", at=NOW):
@@ -56,7 +58,7 @@ def responses(spark, *bodies, location="giza", at=NOW):
     ).withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
 
 
-def envelopes(spark, *bodies, location="giza", day=date(2026, 9, 19), fetched=NOW):
+def envelopes(spark, *bodies, location="giza", day=date(2027, 3, 8), fetched=NOW):
     rows = [(f"doc-{i}", location, f"https://example.invalid/{i}", "{}", day, day, 200, fetched,
              text if isinstance(text, (bytes, bytearray)) else bytearray(text.encode()))
             for i, text in enumerate(bodies)]

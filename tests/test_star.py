@@ -132,10 +132,15 @@ def test_rolling_mean_over_blocks(spark, code, hours, block):
     assert got == brute_rolling(values, hours)
 
 
-def test_rolling_blocks_must_exceed_the_period(spark):
-    rows, _, dim = star_of(spark, series(spark, hourly(datetime(2026, 9, 1), 2)))
-    with pytest.raises(ValueError):
-        reports.rolling_guideline(rows, dim, 23)
+@pytest.mark.parametrize("block", [3, 23, 768])
+def test_periods_longer_than_a_block(spark, block):
+    values = {at: float(i % 9) for i, at in enumerate(hourly(datetime(2026, 9, 1), 60)) if i % 5}
+    rows, _, dim = star_of(spark, series(spark, values))
+    got = {r[2]: (r[5], r[6]) for r in utc(reports.rolling_guideline(rows, dim, block))}
+    assert got == brute_rolling(values, 24)
+    annual = dim.withColumn("who_averaging_hours", F.lit(8760).cast("short"))
+    got = {r[2]: (r[5], r[6]) for r in utc(reports.rolling_guideline(rows, annual, block))}
+    assert got == brute_rolling(values, 8760)
 
 
 def test_gap_report_on_a_long_day(spark):

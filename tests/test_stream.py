@@ -71,3 +71,21 @@ def test_single_document_files(spark, warehouse, tmp_path):
     run(warehouse, document_stream(spark, str(folder), manifest), star=False)
     assert warehouse.read("hourly_readings").filter("loaded_at > first_loaded_at").count() == 8
     assert warehouse.read("responses").count() == 2
+
+
+def test_two_streams_and_a_reset_one_lose_nothing(spark, warehouse):
+    for place, progress in (("giza", "one"), ("luxor", "two"), ("aswan", "two-again")):
+        folder = f"{warehouse.root}/landing-{place}"
+        envelopes(spark, body(DAY, [1.0] * 24), location=place).write.parquet(folder)
+        start_upserts(warehouse, envelope_stream(spark, folder), f"{warehouse.root}/{progress}", clock=clock,
+                      star=False).awaitTermination()
+    assert warehouse.read("responses").count() == 3 and warehouse.read("hourly_readings").count() == 288
+
+
+def test_a_bad_document_does_not_stop_the_stream(spark, warehouse):
+    folder = f"{warehouse.root}/landing"
+    envelopes(spark, body(DAY, [-1.0] * 24)).write.parquet(folder)
+    run(warehouse, envelope_stream(spark, folder), star=False, strict=False)
+    envelopes(spark, body(DAY, [2.0] * 24)).write.mode("append").parquet(folder)
+    run(warehouse, envelope_stream(spark, folder), star=False, strict=False)
+    assert warehouse.read("hourly_readings").count() == 96 and warehouse.read("refusals").count() == 1

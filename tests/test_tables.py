@@ -9,11 +9,12 @@ from conftest import CODES, UNITS, body, envelopes, utc
 from hourly_star.operators.constraints import ConstraintViolation
 from hourly_star.operators.parse import UpstreamDataError
 from hourly_star.plans.daily import CheckFailure, daily_run, raise_on_failure
-from hourly_star.plans.ingest import dry_run, ingest, replay, store_reference
+from hourly_star.plans.ingest import dry_run, ingest, rebuild, replay, store_reference
 from hourly_star.plans.star import build_star, fact, staged_readings
 from hourly_star.operators.incremental import drift, merge, watermark
 from hourly_star.schemas import FACT_KEY, POLLUTANT_ROWS, POLLUTANTS
 from hourly_star.sources.landing import covering, digest_counts, newest_first, read_documents
+from hourly_star.sources import reference
 from hourly_star.sources.tables import Warehouse
 
 T = datetime(2026, 9, 20, 3)
@@ -138,10 +139,10 @@ def test_refused_document_is_landed_and_stops_the_batch(spark, warehouse):
 
 
 def test_impossible_values_are_refused(spark, warehouse):
-    with pytest.raises(ConstraintViolation, match="nonnegative:value"):
+    with pytest.raises(UpstreamDataError, match="nonnegative:value"):
         ingest(warehouse, envelopes(spark, body(DAY, values(h2=-1.0))), T)
     off = [t.replace(":00", ":30") for t in DAY]
-    with pytest.raises(ConstraintViolation, match="on_hour"):
+    with pytest.raises(UpstreamDataError, match="on_hour"):
         ingest(warehouse, envelopes(spark, body(off, values())), T + timedelta(hours=1))
     assert state(warehouse) == [] and warehouse.read("responses").count() == 2
 
@@ -153,6 +154,7 @@ def test_bad_request_metadata_is_refused(spark, warehouse):
     with pytest.raises(ConstraintViolation, match="ordered:window_start"):
         ingest(warehouse, docs.withColumn("window_end", F.lit(date(2026, 9, 1))),
                T + timedelta(hours=1))
+    assert warehouse.read("responses").isEmpty()
 
 
 def test_reference_table_must_be_loaded(spark, tmp_path):
@@ -312,3 +314,38 @@ def test_checks_of_changed_days(spark, warehouse):
     late = [t.replace("09-19", "08-02") for t in DAY]
     assert failed(late, values(), 2) == set()
     assert failed(old, values(h4=1500.0, h5=4.5), 3) == {"concentration_within_pollutant_bounds"}
+
+
+def test_a_known_batch_name_never_swallows_documents(spark, warehouse):
+    one, other = (envelopes(spark, body(DAY, values()), location=x) for x in ("giza", "luxor"))
+    ingest(warehouse, one, T, "b")
+    result = ingest(warehouse, other.withColumn("document", F.lit("new")), T, "b")
+    assert (result.submitted, result.inserted) == (192, 96)
+    assert {r.location_code for r in warehouse.read("responses").collect()} == {"giza", "luxor"}
+    both = one.union(other.withColumn("document", F.lit("new")))
+    assert ingest(warehouse, both, T, "b").inserted == 0 and warehouse.read("responses").count() == 2
+    with pytest.raises(ConstraintViolation, match="differ"):
+        ingest(warehouse, other, T, "b")  # the same document name, another place
+    assert warehouse.read("responses").count() == 2
+
+
+def test_replay_and_ingest_share_one_verdict(spark, warehouse):
+    off = [t.replace(":00", ":30") for t in DAY]
+    docs = envelopes(spark, body(DAY, values()), body(DAY, values(h2=-1.0)), body(off, values()),
+                     body([t.replace("09-19", "09-18") for t in DAY], values(), offset=60))
+    bad = envelopes(spark, body(DAY, values())).withColumn("document", F.lit("bad")).withColumn(
+        "window_end", F.lit(date(2026, 9, 1)))
+    result = ingest(warehouse, docs.union(bad), T, strict=False)
+    assert (result.windows, result.rejected, result.inserted) == (1, 4, 96)
+    assert warehouse.read("responses").count() == 4
+    noted = {r.document: r.reason for r in warehouse.read("refusals").collect()}
+    assert noted == {"doc-1": "nonnegative:value", "doc-2": "on_hour:measured_at_utc", "doc-3": "utc_offset",
+                     "bad": "ordered:window_start,window_end"}
+    before = state(warehouse)
+    assert rebuild(warehouse) == 96 and state(warehouse) == before
+
+
+def test_a_code_occurs_once(spark, warehouse):
+    twice = reference.seed(spark).union(reference.seed(spark).limit(1))
+    with pytest.raises(ConstraintViolation, match="occur twice"):
+        store_reference(warehouse, twice)
