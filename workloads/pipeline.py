@@ -14,7 +14,7 @@ from hourly_star.operators.incremental import merge
 from hourly_star.plans.daily import daily_run
 from hourly_star.plans.ingest import dry_run, ingest, replay
 from hourly_star.plans.star import build_star, fact, staged_readings, with_lineage
-from hourly_star.schemas import FACT_KEY
+from hourly_star.schemas import FACT, FACT_KEY
 from hourly_star.session import shared_dir
 from hourly_star.sources.landing import ENVELOPE, land
 from hourly_star.sources.tables import Warehouse
@@ -110,10 +110,12 @@ def fct_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact brought up to date after each batch."""
     warehouse = scratch_warehouse(spark)
     docs = _fetched(spark, sf_dir, warehouse)
-    for i, issue in enumerate(BATCHES[:2]):
+    for i, issue in enumerate(BATCHES):
         ingest(warehouse, docs[issue], _times(i))
         build_star(warehouse)
-    return plain(warehouse.read("fct_hourly_readings").drop("source_response_id", "utc_date"))
+    rows = with_lineage(warehouse.read("fct_hourly_readings").drop("utc_date"), warehouse.read("responses"))
+    return plain(rows.select(*[f.name for f in FACT if f.name not in ("source_response_id", "utc_date")],
+                             "request_url"))
 
 
 def fct_schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,16 +143,16 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, issue in enumerate(BATCHES):
         docs[issue].write.mode("append").parquet(folder)
         query = start_upserts(warehouse, envelope_stream(spark, folder),
-                              f"{warehouse.root}/progress", clock=_times, star=False)
+                              f"{warehouse.root}/progress", clock=_times)
         query.awaitTermination()
     return _state(warehouse)
 
 
 def daily_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two daily runs; the checks as of the second one."""
+    """Three daily runs; the checks as of the last one."""
     warehouse = scratch_warehouse(spark)
     docs = _fetched(spark, sf_dir, warehouse)
-    for i, issue in enumerate(BATCHES[:2]):
+    for i, issue in enumerate(BATCHES):
         _, results = daily_run(warehouse, docs[issue], _times(i))
     return results
 
@@ -179,6 +181,7 @@ _STATE_SQL = f"""{_runs_sql()} SELECT f.location_code, f.pollutant_code, f.measu
     FROM folded f JOIN docs d ON d.doc_id = f.source_response_id % 1000000000"""
 
 _TWO = f"{_runs_sql(BATCHES[:2])}, {pollutants_sql()}, {fact_sql()}, {dates_sql()}"
+_ALL = f"{_runs_sql()}, {pollutants_sql()}, {fact_sql()}, {dates_sql()}"
 
 _REASONS = " ".join(f"WHEN {k} THEN '{reason}'" for k, reason in (
     (1, "utc_offset"), (2, "utc_offset"), (3, "no_time_axis"), (4, "missing:ozone"),
@@ -187,7 +190,7 @@ _REASONS = " ".join(f"WHEN {k} THEN '{reason}'" for k, reason in (
 _REASON = f"CASE doc_id % {DEFECTS} {_REASONS} END"
 
 ORACLES = {
-    "daily_checks": star_checks_sql(_TWO, str(_times(1))),
+    "daily_checks": star_checks_sql(_ALL, str(_times(2))),
     "parse_responses": f"""{_DOCS} SELECT doc_id AS response_id, location_code, pollutant_code,
         measured_at_utc, value, unit, ingested_at FROM cells""",
     "parse_forecast_drop": f"""{_DOCS} SELECT doc_id AS response_id, location_code,
@@ -217,7 +220,8 @@ ORACLES = {
         count(*) FILTER (action = 'I') AS inserted, count(*) FILTER (action = 'U') AS changed,
         count(*) FILTER (action = 'N') AS unchanged, CAST(0 AS BIGINT) AS dropped_future,
         CAST(0 AS BIGINT) AS rejected FROM folded_log GROUP BY 1""",
-    "fct_incremental": f"{_TWO} SELECT * EXCLUDE (source_response_id) FROM fct",
+    "fct_incremental": f"""{_ALL} SELECT f.* EXCLUDE (source_response_id), d.request_url
+        FROM fct f JOIN docs d ON d.doc_id = f.source_response_id % 1000000000""",
     "fct_schema_append": f"""{_TWO} SELECT reading_key, concentration,
         CASE WHEN source_loaded_at >= TIMESTAMP '{_times(1)}' THEN concentration > 50 END
           AS is_high, source_loaded_at FROM fct""",
