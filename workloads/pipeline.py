@@ -12,7 +12,7 @@ from hourly_star.operators.parse import (
 )
 from hourly_star.operators.incremental import merge
 from hourly_star.plans.daily import daily_run
-from hourly_star.plans.ingest import dry_run, ingest, replay
+from hourly_star.plans.ingest import dry_run, ingest, rebuild, replay
 from hourly_star.plans.star import build_star, fact, staged_readings, with_lineage
 from hourly_star.schemas import FACT, FACT_KEY
 from hourly_star.session import shared_dir
@@ -157,7 +157,37 @@ def daily_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results
 
 
+def _with_defects(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Tables after one batch of all documents, most of them with a defect."""
+    warehouse = scratch_warehouse(spark)
+    ingest(warehouse, envelopes(documents(spark, sf_dir, corrupt=True)), _times(0), strict=False)
+    return warehouse
+
+
+def ingest_with_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a batch that is not strict left out, and why."""
+    return _with_defects(spark, sf_dir).read("refusals").select("document", "location_code", "reason")
+
+
+def rebuild_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings table written anew from the raw log, refused documents among it."""
+    warehouse = _with_defects(spark, sf_dir)
+    rebuild(warehouse)
+    return plain(warehouse.read("hourly_readings").select(*KEYS.split(", "), "value", "unit"))
+
+
+def land_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch name that comes again with more documents: each is landed once."""
+    warehouse = scratch_warehouse(spark)
+    docs = _fetched(spark, sf_dir, warehouse)
+    land(warehouse, docs[0], _times(0), "again")
+    land(warehouse, docs[0].union(docs[1]), _times(1), "again")
+    stored = land(warehouse, docs[1], _times(2), "again")
+    return plain(stored.select("document", "location_code", "request_url", "ingested_at"))
+
+
 QUERIES = {f.__name__: f for f in (
+    ingest_with_refusals, rebuild_tables, land_repeated,
     daily_checks, parse_forecast_drop, guard_violations, dry_run_counts, upsert_tables, raw_replay, run_summary,
     fct_incremental, fct_schema_append, stream_upsert,
 )}
@@ -212,6 +242,17 @@ ORACLES = {
           CAST(sum(CASE WHEN guard_error IS NULL THEN later ELSE 0 END) AS BIGINT)
             AS dropped_future
         FROM reasons JOIN n USING (doc_id) GROUP BY location_code, guard_error""",
+    "ingest_with_refusals": f"""{_DOCS}, r AS (SELECT request_url AS document, location_code,
+        {_REASON} AS reason FROM docs) SELECT * FROM r WHERE reason IS NOT NULL""",
+    # Ids follow the time of fetching, so the last document wins.
+    "rebuild_tables": f"""{_DOCS}, good AS (SELECT * FROM cells WHERE {_REASON} IS NULL),
+        last AS (SELECT *, row_number() OVER (
+          PARTITION BY location_code, pollutant_code, measured_at_utc
+          ORDER BY ingested_at DESC, request_url DESC) AS back FROM good)
+        SELECT location_code, pollutant_code, measured_at_utc, value, unit FROM last WHERE back = 1""",
+    "land_repeated": f"""{_DOCS} SELECT request_url AS document, location_code, request_url,
+        CASE issue WHEN 0 THEN TIMESTAMP '{_times(0)}' ELSE TIMESTAMP '{_times(1)}' END AS ingested_at
+        FROM docs""",
     "upsert_tables": _STATE_SQL,
     "raw_replay": _STATE_SQL,
     "stream_upsert": _STATE_SQL,
