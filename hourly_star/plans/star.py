@@ -132,7 +132,7 @@ def build_star(warehouse: Warehouse, full_refresh: bool = False, zone: str = TIM
     """
     enforce_domain(warehouse.read("pollutants"))
     staged = staged_readings(warehouse.read("hourly_readings"), zone)
-    staged.createOrReplaceTempView(warehouse.prefix + STAGING_VIEW)
+    create_staging_view(warehouse, zone)
     edges = staged_readings(_edge_days(warehouse), zone)
     warehouse.replace_all("dim_date", dim_date(edges, weekend, padding))
     warehouse.replace_all("dim_pollutant", dim_pollutant(warehouse.read("pollutants")))
@@ -147,6 +147,20 @@ def build_star(warehouse: Warehouse, full_refresh: bool = False, zone: str = TIM
     return merge(warehouse, "fct_hourly_readings", _dated(batch), list(FACT_KEY))
 
 
+def create_staging_view(warehouse: Warehouse, zone: str = TIME_ZONE) -> str:
+    """The staged readings as a view of the staging layer, for every session; returns its name."""
+    name = f"{warehouse.prefix}staging.{STAGING_VIEW}"
+    quoted = zone.replace("'", "''")
+    warehouse.spark.sql(f"""
+        CREATE OR REPLACE VIEW {name} COMMENT 'Readings under warehouse names with local time' AS
+        SELECT location_code, pollutant_code, measured_at_utc,
+          CAST(convert_timezone('UTC', '{quoted}', CAST(measured_at_utc AS TIMESTAMP_NTZ)) AS TIMESTAMP_NTZ)
+            AS measured_at_local,
+          value AS concentration, unit, source_response_id, first_loaded_at, loaded_at
+        FROM {warehouse.name("hourly_readings")}""")
+    return name
+
+
 def _edge_days(warehouse: Warehouse, n: int = 2) -> DataFrame:
     """Readings of the first and last few days, all a range of days depends on.
 

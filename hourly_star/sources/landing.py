@@ -29,7 +29,12 @@ def read_documents(spark: SparkSession, path: str, manifest: DataFrame) -> DataF
 
 
 def with_manifest(files: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Envelopes from binary files and a manifest keyed by file name."""
+    """Envelopes from binary files and a manifest keyed by file name.
+
+    Window dates may be text; it has to read yyyy-MM-dd, anything else is an error.
+    """
+    texts = [c for c, kind in manifest.dtypes if c in ("window_start", "window_end") and kind == "string"]
+    manifest = manifest.withColumns({c: F.to_date(F.col(c), "yyyy-MM-dd") for c in texts})
     named = files.select(
         F.element_at(F.split("path", "/"), -1).alias("document"),
         F.col("modificationTime").alias("fetched_at"),

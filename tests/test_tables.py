@@ -349,3 +349,26 @@ def test_a_code_occurs_once(spark, warehouse):
     twice = reference.seed(spark).union(reference.seed(spark).limit(1))
     with pytest.raises(ConstraintViolation, match="occur twice"):
         store_reference(warehouse, twice)
+
+
+def test_the_staging_view_is_there_for_every_session(spark, warehouse):
+    ingest(warehouse, envelopes(spark, body(DAY, values())), T)
+    build_star(warehouse)
+    view = f"{warehouse.prefix}staging.stg_hourly_readings"
+    other = spark.newSession().table(view)
+    expected = staged_readings(warehouse.read("hourly_readings"))
+    assert other.columns == expected.columns
+    assert sorted(map(str, other.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_manifest_dates_are_read_strictly(spark, tmp_path):
+    (tmp_path / "a.json").write_text(body(DAY, values()))
+    row = ("a.json", "giza", "u", "{}", "2026-09-19", "2026-09-19", 200)
+    schema = ("document string, location_code string, request_url string, request_params string, "
+              "window_start string, window_end string, http_status int")
+    good = read_documents(spark, str(tmp_path), spark.createDataFrame([row], schema)).first()
+    assert good.window_start == date(2026, 9, 19)
+    for text in ("19/09/2026", "2026-9-19", "2026-02-30", "soon"):
+        bad = spark.createDataFrame([(*row[:4], text, *row[5:])], schema)
+        with pytest.raises(Exception, match="(?i)parse|date"):
+            read_documents(spark, str(tmp_path), bad).collect()
