@@ -15,7 +15,6 @@ from hourly_star.plans.daily import daily_run
 from hourly_star.plans.ingest import dry_run, ingest, rebuild, replay
 from hourly_star.plans.star import build_star, fact, staged_readings, with_lineage
 from hourly_star.schemas import FACT, FACT_KEY
-from hourly_star.session import shared_dir
 from hourly_star.sources.landing import ENVELOPE, land
 from hourly_star.sources.tables import Warehouse
 from hourly_star.streaming.upsert_stream import envelope_stream, start_upserts
