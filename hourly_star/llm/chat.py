@@ -187,8 +187,10 @@ def _held_back(scratch: Scratch, calls: DataFrame) -> DataFrame:
 def formatted(spark: SparkSession, messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     """One row for each event; see the head of the module."""
     scratch = Scratch(spark, "chat")
-    events = scratch.keep(_events(messages, schemas)).withColumn("one", F.lit(1))
-    placed = running_total(scratch, events, ["conv_id"], ["turn", "mark", "part"], "one", "own").drop("one")
+    events = scratch.keep(_events(messages, schemas))
+    # all steps move the narrow columns; lines join their events at the end
+    narrow = events.drop("role", "line").withColumn("one", F.lit(1))
+    placed = running_total(scratch, narrow, ["conv_id"], ["turn", "mark", "part"], "one", "own").drop("one")
     key = ["conv_id", "call_id"]
     # the first call of an identifier, and the first result of a call
     firsts = placed.where("call_id IS NOT NULL").groupBy("kind", *key).agg(F.min("own").alias("first"))
@@ -213,11 +215,12 @@ def formatted(spark: SparkSession, messages: DataFrame, schemas: dict = SCHEMAS)
               .when(call & F.col("cycle"), "cycle")
               .when(call & F.col("answer").isNull(), "unanswered").otherwise("ok"))
     ordered = linked.select(
-        "conv_id", "turn", "role", "kind", "call_id", "line", "own", status.alias("status"),
+        "conv_id", "turn", "kind", "call_id", "mark", "part", "own", status.alias("status"),
         F.when(there & ~F.col("cycle"), F.greatest("own", "effective")).otherwise(F.col("own")).alias("time"),
         F.when(there & ~F.col("cycle"), 2 * F.col("depth") + result.cast("long")).otherwise(0).alias("level"),
         F.lit(1).alias("one"))
-    return running_total(scratch, ordered, ["conv_id"], ["time", "level", "own"], "one", "position").select(
+    numbered = running_total(scratch, ordered, ["conv_id"], ["time", "level", "own"], "one", "position")
+    return numbered.join(events.select("mark", "part", "role", "line"), ["mark", "part"]).select(
         "conv_id", "position", "turn", "role", "kind", "call_id", "status", "line")
 
 
