@@ -18,7 +18,7 @@ GRAMS = (3, 4, 5)
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 WINDOW = 5
-PIECE = 1 << 19  # code points worked on at a time, whatever the length of a text
+PIECE = 1 << 18  # code points worked on at a time, whatever the length of a text
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _OPEN, _CLOSE = ord("<"), ord(">")
 _SPACE, _INSIDE, _LETTER = 0, 1, 2

@@ -35,8 +35,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, int]], float]:
-    """(text, label) of the bounded sample, and the share of label 1 of all eligible."""
+def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
+    """(doc_id, text, toxic) of the bounded sample, and the share of label 1 of all eligible."""
     eligible = (
         labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -49,17 +49,31 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, int]], f
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
              .join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")  # at most the two bounds
              .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
-    rows = [(r["text"] or "", r["toxic"], r["doc_id"]) for r in texts.toLocalIterator()]
-    return [(text, label) for text, label, _ in sorted(rows, key=lambda r: r[2])], share
+    return texts.select("doc_id", "text", "toxic"), share
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray | None, float, float]:
-    """The collapsed model (None if a label is missing), its bias, and the share of label 1."""
+    """The collapsed model (None if a label is missing), its bias, and the share of label 1.
+
+    One task trains, as the sample is bounded; the model of 1 MB is all that
+    comes to the driver.
+    """
     rows, share = sample(docs, labels)
-    if len({label for text, label in rows if subwords.bags_of([text]).text.size}) < 2:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted((row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))),
+                       key=lambda row: row[0])
+        found = [(text or "", label) for _, text, label in found]
+        if len({label for text, label in found if subwords.bags_of([text]).text.size}) < 2:
+            return
+        model = subwords.train([t for t, _ in found], [label for _, label in found])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.bucket_scores().tobytes()]), pa.array([model.bias()])], ["scores", "bias"])
+
+    trained = map_rows(rows.repartition(1), "scores binary, bias double", run).collect()
+    if not trained:
         return None, 0.0, share
-    model = subwords.train([t for t, _ in rows], [label for _, label in rows])
-    return model.bucket_scores(), model.bias(), share
+    return np.frombuffer(trained[0]["scores"], np.float32), trained[0]["bias"], share
 
 
 def _batch_scores(texts: list[str | None], model: tuple[np.ndarray | None, float, float]) -> np.ndarray:
