@@ -68,14 +68,17 @@ def gram_ranks(data: np.ndarray) -> np.ndarray:
     return rank * _PRIME
 
 
-def elected(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def elected(data: np.ndarray, piece: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows by the position they elect: position, first and last window, rank.
 
-    The least rank wins, of equal ones the leftmost.
+    The least rank wins, of equal ones the leftmost. Elected positions never go
+    back, so windows of two pieces that elect the same one follow each other:
+    they are one run, and a position is elected by one run only.
     """
+    piece = piece or PIECE
     found = []
-    for begin in range(0, len(data) - THRESHOLD + 1, PIECE):
-        ranks = gram_ranks(data[begin:begin + PIECE + THRESHOLD - 1])
+    for begin in range(0, len(data) - THRESHOLD + 1, piece):
+        ranks = gram_ranks(data[begin:begin + piece + THRESHOLD - 1])
         bits = np.uint64(20)
         least = (ranks >> bits << bits) | np.arange(len(ranks), dtype=np.uint64)
         size = 1
@@ -92,7 +95,9 @@ def elected(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     if not found:
         none = np.zeros(0, np.int64)
         return none, none, none, none
-    return tuple(np.concatenate(x) for x in zip(*found))
+    at, first, last, rank = (np.concatenate(x) for x in zip(*found))
+    new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return at[new], first[new], last[np.append(new[1:], len(at)) - 1], rank[new]
 
 
 KEY = ["k0", "k1"]  # 128 bits that stand for a text
@@ -134,6 +139,7 @@ def elections(texts: DataFrame) -> DataFrame:
     """The elected positions of every text: the windows that elect position `at` start
     `low` to `high` bytes before it; `rank` is that of the gram, `whole` that of the
     string all of these windows span."""
+    piece = PIECE  # as set here, for all workers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, digest = Seen(), xxhash.xxh3_64_intdigest
@@ -143,7 +149,7 @@ def elections(texts: DataFrame) -> DataFrame:
                 data = value.as_buffer()
                 if len(data) < THRESHOLD or not seen.first((k0, k1)):
                     continue
-                at, first, last, rank = elected(np.frombuffer(data, np.uint8))
+                at, first, last, rank = elected(np.frombuffer(data, np.uint8), piece)
                 view = memoryview(data)
                 low, high = at - last, at - first
                 whole = np.array([digest(view[f:t + THRESHOLD], l * THRESHOLD + h) for f, t, l, h in zip(
@@ -205,13 +211,15 @@ def _parts(contexts: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in PARTS_SCHEMA.split(", ")]
-        read = ["k0", "k1", "at", "high", "bytes", "todo"]
+        read = ["k0", "k1", "at", "low", "high", "bytes", "todo"]
         types = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.bool_()] + [pa.int64()] * 4
         for batch in batches:
             rows = []
-            for k0, k1, at, high, data, todo in zip(*(batch.column(c).to_pylist() for c in read)):
+            for k0, k1, at, low, high, data, todo in zip(*(batch.column(c).to_pylist() for c in read)):
                 view = memoryview(data)  # starts `high` bytes before the position
                 for wanted in todo:
+                    if not low <= wanted["low"] <= wanted["high"] <= high:
+                        raise ValueError(f"windows {wanted['low']} to {wanted['high']} are outside the bytes at hand")
                     for part in range(wanted["low"] // size, wanted["high"] // size + 1):
                         near, far = part * size, min(REACH, part * size + size - 1)
                         l, h = max(near, wanted["low"]), min(far, wanted["high"])

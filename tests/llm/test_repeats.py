@@ -73,6 +73,19 @@ def test_texts_longer_than_a_piece(spark, monkeypatch):
         assert (at >= last).all() and (at - first <= repeats.REACH).all()
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_whole_operator_on_texts_longer_than_a_piece(spark, monkeypatch, seed):
+    monkeypatch.setattr(repeats, "PIECE", 97)
+    rng = random.Random(seed)
+    passages = [noise(rng, n) for n in (205, 230, 290)]
+    docs = [(i, "".join(noise(rng, rng.randint(1, 90)) + rng.choice(passages)[rng.randint(0, 40):]
+                        for _ in range(4))) for i in range(40)]
+    check(spark, docs)
+    for _, text in docs:
+        at, first, last, _ = repeats.elected(np.frombuffer(text.encode(), np.uint8))
+        assert (at[1:] > at[:-1]).all() and (first[1:] == last[:-1] + 1).all()
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.deduplicated(spark, frame).count() == 0
