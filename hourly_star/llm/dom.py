@@ -15,6 +15,7 @@ BLOCKS = frozenset(
     "tbody tfoot tr td th caption blockquote pre figure figcaption form fieldset legend label address details "
     "summary dialog menu hr center noscript hgroup search button select textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+FOREIGN = frozenset("svg math".split())  # a slash before the end of the tag closes them
 RAW = frozenset("script style title template iframe noembed svg math object canvas audio video".split())
 CLOSES_P = BLOCKS - frozenset("html body td th button label select textarea legend summary".split())
 CONTROLS = frozenset("input select textarea button option".split())
@@ -28,6 +29,7 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/><]*)[^>]*>"
     r"|<[!?/][^>]*(?:>|\Z)", re.S)
 _NAMED = re.compile(r"(?:^|[\s\"'])(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_BARE_VALUE = re.compile(r"=\s*[^\s\"'>]+\Z")  # a slash at the end of such a value belongs to it
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _TEXT_SIGNS = re.compile(r"[.,;:!?]")
 
@@ -41,6 +43,7 @@ N_GROUPS = 5
 class Forest:
     """Block elements of some pages, parents before children, and their runs of text."""
 
+    labelled: bool = True  # drawn pages; on others data-y is an attribute like any other
     kind: list[str] = field(default_factory=list)
     page: list[int] = field(default_factory=list)
     parent: list[int] = field(default_factory=list)  # -1 at a page's root
@@ -62,7 +65,8 @@ class Forest:
             for key, *values in _NAMED.findall(attrs):
                 value = "".join(values)
                 if key.lower() == "data-y":
-                    label = int(value)
+                    if self.labelled:
+                        label = int(value)
                 else:
                     features += [_hash("n:" + part.lower()) for part in _PARTS.findall(value)]
         self.kind.append(name)
@@ -123,6 +127,8 @@ class Forest:
             node = open_nodes[-1]
             if name in CONTROLS:
                 self.controls[node] += 1
+            if name in FOREIGN and token[0].endswith("/>") and not _BARE_VALUE.search(token["attrs"] or ""):
+                continue
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(source, position)
                 position = length if not end else source.find(">", end.start()) + 1 or length

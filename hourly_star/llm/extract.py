@@ -111,7 +111,7 @@ def main_texts(pages: list[str | None], weights: Weights) -> list[str]:
     for end in range(1, len(pages) + 1):
         held += len(pages[end - 1] or "")
         if held >= PIECE or end == len(pages):
-            forest = dom.Forest()
+            forest = dom.Forest(labelled=False)
             for number, source in enumerate(pages[begin:end]):
                 forest.parse(number, source or "")
             by_depth = dom.levels(forest)

@@ -86,3 +86,13 @@ def test_broken_markup_and_odd_rows(spark):
 def test_references_and_white_space(weights):
     page = f"<body><article><h1>T</h1><p>{BODY}</p><p>a&#x41;&eacute;\n\t b<i>c</i>  d<br>e</p></article>"
     assert extract.main_texts([page], weights) == [f"T {TEXT} aAé bc d e"]
+
+
+def test_label_attributes_and_self_closed_graphics_of_real_pages(weights):
+    icons = "<svg viewBox='0 0 9 9' /><math/><svg data-y=12px/ ><path/></svg>"
+    page = (f"<body data-y='12px'><nav><ul><li><a href='/a'>Home</a></li></ul></nav><article data-y=\"12.5\"><h1>T</h1>"
+            f"<p data-y=''>{BODY}</p>{icons}<p data-y='0'>{BODY}</p><svg class='x=y'/><p>End.</p></article>")
+    assert extract.main_texts([page], weights) == [f"T {TEXT} {TEXT} End."]
+    kept = dom.Forest(labelled=False)
+    kept.parse(0, "<body><p>a<svg fill=red/>not shown</svg>b<svg fill='red'/>c")
+    assert dom.text_of(kept, np.ones(len(kept.page), bool), 1) == ["abc"]
