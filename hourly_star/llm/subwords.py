@@ -139,24 +139,57 @@ def _cut(text: str) -> tuple[str, str]:
 def worst_windows(texts: list[str | None], bucket_scores: np.ndarray) -> np.ndarray:
     """For each text the highest average over a window of words; NaN if it has no word.
 
-    Windows are consecutive, five words each; a short last one counts the
-    missing words as neutral. They start anew in each piece of a long text.
+    Every five consecutive words are a window; a text of fewer words is one
+    window, which counts the missing words as neutral. The last four words of a
+    piece go on into the next piece of the text.
     """
     worst = np.full(len(texts), -np.inf)
-    for piece, numbers in zip(*_pieces(texts)):
+    lists, numbers = _pieces(texts)
+    text, scores = np.zeros(0, np.int64), np.zeros(0)
+    for at, piece in enumerate(lists):
         bags = bags_of(piece)
-        if len(bags.text):
-            starts, totals = _windows(bags.text, bags.word_scores(bucket_scores))
-            np.maximum.at(worst, np.array(numbers)[bags.text[starts]], totals)
+        text = np.concatenate([text, np.array(numbers[at])[bags.text]])
+        scores = np.concatenate([scores, bags.word_scores(bucket_scores)])
+        open_ = numbers[at + 1][0] if at + 1 < len(lists) else -1  # the text that may go on
+        if len(text):
+            starts, totals = _windows(text, scores)
+            owner = text[starts]
+            short = np.bincount(text, minlength=len(texts))[owner] < WINDOW
+            known = ~short | ((owner != open_) & np.isneginf(worst[owner]))
+            np.maximum.at(worst, owner[known], totals[known])
+        held = np.flatnonzero(text == open_)[1 - WINDOW:]
+        text, scores = text[held], scores[held]
     return np.where(np.isneginf(worst), np.nan, worst)
 
 
 def _windows(text: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First word and average of every window; windows never cross texts."""
     begins = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
-    place = np.arange(len(text)) - np.repeat(begins, np.diff(np.append(begins, len(text))))
-    starts = np.flatnonzero(place % WINDOW == 0)
-    return starts, np.add.reduceat(scores, starts) / WINDOW
+    counts = np.diff(np.append(begins, len(text)))
+    ends = np.repeat(begins + counts, counts)
+    first = np.arange(len(text))
+    starts = np.flatnonzero((first + WINDOW <= ends) | (first == ends - np.repeat(counts, counts)))
+    padded, stop = np.append(scores, np.zeros(WINDOW - 1)), ends[starts]
+    totals = np.zeros(len(starts))
+    for step in range(WINDOW):
+        totals += np.where(starts + step < stop, padded[starts + step], 0)
+    return starts, totals / WINDOW
+
+
+def _worst_apart(owner: np.ndarray, totals: np.ndarray, count: int) -> list[np.ndarray]:
+    """Numbers of the worst window of every text, of its worst one that shares no word with
+    that, and so on; `owner` is the text of each window, in order."""
+    begins = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(owner))))
+    left, chosen = totals.copy(), []
+    for _ in range(count):
+        hits = np.flatnonzero((left == np.maximum.reduceat(left, begins)[group]) & ~np.isneginf(left))
+        hits = hits[np.unique(group[hits], return_index=True)[1]]
+        chosen.append(hits)
+        near = hits[:, None] + np.arange(1 - WINDOW, WINDOW)
+        inside = np.clip(near, 0, len(owner) - 1)
+        left[inside[(near == inside) & (owner[inside] == owner[hits][:, None])]] = -np.inf
+    return chosen
 
 
 def probability(logits: np.ndarray) -> np.ndarray:
@@ -206,7 +239,8 @@ def train(texts: list[str], labels: list[int], seed: int = 11, warm: int = 2, ep
     Two epochs average over the whole text, which tells common from telling
     n-grams. The others learn from the worst windows of each text, as the
     model of the epoch's start sees them: one window where the label is 1, as
-    one is enough for the label, several where it is 0, as all are clean.
+    one is enough for the label, several that share no word where it is 0, as
+    all are clean.
     """
     text, word, sizes, buckets = _vocabulary([(t or "").lower() for t in texts])
     starts = np.cumsum(sizes) - sizes
@@ -236,13 +270,11 @@ def train(texts: list[str], labels: list[int], seed: int = 11, warm: int = 2, ep
         else:
             firsts, totals = _windows(text, different.word_scores(e @ (v[1] - v[0]))[word])
             owner = text[firsts]
-            ranked = np.lexsort((-totals, owner))
-            begin_of = np.searchsorted(owner[ranked], np.arange(len(y)))
-            spans = []
-            for i in range(len(y)):
-                mine = ranked[begin_of[i]:begin_of[i] + (1 if y[i] else 4)]
-                spans.append([(firsts[k], min(firsts[k] + WINDOW, begins[i] + lengths[i]), WINDOW)
-                              for k in mine if owner[k] == i])
+            spans = [[] for _ in y]
+            for place, windows in enumerate(_worst_apart(owner, totals, 4)):
+                for i, first in zip(owner[windows].tolist(), firsts[windows].tolist()):
+                    if not (y[i] and place):
+                        spans[i].append((first, min(first + WINDOW, begins[i] + lengths[i]), WINDOW))
         rng.shuffle(order)
         for start in range(0, len(order), batch):
             chosen = [(i, *span) for i in order[start:start + batch] for span in spans[i]]

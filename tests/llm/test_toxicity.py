@@ -87,3 +87,31 @@ def test_words_and_buckets():
     assert bags.sizes.tolist() == [2, 7, 2]  # <a> and itself; three, two and one n-grams of <bcd> and itself
     again = subwords.bags_of(["a bcd x".replace("b", "B")])
     assert again.buckets.tolist()[:2] == bags.buckets.tolist()[:2]
+
+
+def test_worst_window_does_not_depend_on_its_place(monkeypatch):
+    words = [w for w in ("".join(p) for p in zip(SYLLABLES, SYLLABLES[1:])) if len(w) > 3]
+    scores = np.zeros(subwords.BUCKETS, np.float32)
+    scores[subwords.bags_of(RUDE).buckets] = 2
+    scores[subwords.bags_of(words + ["."]).buckets] = 0
+    rng = random.Random(4)
+
+    def plain(text):
+        bags = subwords.bags_of([text])
+        each = bags.word_scores(scores)
+        return max(sum(each[i:i + 5]) / 5 for i in range(max(1, len(each) - 4)))
+
+    def calm(n):
+        return rng.choices(words, k=n)
+
+    texts = [" ".join(calm(n) + RUDE[:k] + calm(m)) for k in (1, 2, 3, 4) for n, m in ((0, 0), (4, 9), (11, 3), (300, 50))]
+    for piece in (1 << 18, 40):
+        monkeypatch.setattr(subwords, "PIECE", piece)
+        base = subwords.worst_windows(texts, scores)
+        assert base.tolist() == [plain(t) for t in texts]
+        for n in range(5):
+            shifted = [" ".join(calm(n) + [t]) for t in texts]
+            assert subwords.worst_windows(shifted, scores).tolist() == base.tolist()
+    odd = ["", "one . . - two", None, "!!", " ".join(RUDE) + " -" * 60, "x " * 7]
+    assert np.isnan(subwords.worst_windows(odd, scores)).tolist() == [True, False, True, True, False, False]
+    assert subwords.worst_windows(odd, scores)[4] == plain(odd[4])
