@@ -11,12 +11,13 @@ part with nothing taken. Equal rows stay separate rows and may differ in
 the query and kept by the stage.
 
 Method. The words of a source, its documents in shuffled order, are cut into
-blocks of equal length (`BLOCK` words or a little less). Slot i of the mix
-belongs to the source in whose part of [0, 1) the fractional part of
-i * golden ratio falls. The r-th slot of a source takes block r of its
-shuffled blocks, starting over after the last one, `REPEATS` times at most. As
-the points spread evenly, every stretch of the mix has all sources near their
-weights, and every source gets its number of slots but for a few.
+blocks of equal length (`BLOCK` words or a little less). Each slot i of the mix
+has a point, the fractional part of i * golden ratio; the slots in the order of
+their points are dealt to the sources, to each as many as it wants. The r-th
+slot of a source takes block r of its shuffled blocks, starting over after the
+last one, `REPEATS` times at most; its last slot takes only the words the target,
+rounded to whole words, still lacks. As the points spread evenly, every stretch
+of the mix has all sources near their weights.
 """
 
 from __future__ import annotations
@@ -72,12 +73,10 @@ def targets(scratch: Scratch, sizes: DataFrame) -> DataFrame:
     return weighted.withColumn("target", F.least(cap.cast("double"), F.col("weight") * F.lit(level)))
 
 
-def _at(slot: Column, total: int) -> Column:
-    """Where in 0 to total - 1 the slot's point falls, in whole numbers."""
-    whole = "decimal(38,0)"
-    point = slot.cast("decimal(20,0)") * F.lit(GOLDEN).cast("decimal(17,0)") % F.lit(POINTS).cast(whole)
-    return F.floor(point.cast("decimal(17,0)") * F.lit(total).cast("decimal(20,0)")
-                   / F.lit(POINTS).cast("decimal(17,0)")).cast("long")
+def _point(slot: Column) -> Column:
+    """The slot's point in whole numbers below `POINTS`; no two slots share one."""
+    point = slot.cast("decimal(20,0)") * F.lit(GOLDEN).cast("decimal(17,0)") % F.lit(POINTS).cast("decimal(38,0)")
+    return point.cast("long")
 
 
 def schedule(scratch: Scratch, shares: DataFrame) -> DataFrame:
@@ -94,7 +93,9 @@ def schedule(scratch: Scratch, shares: DataFrame) -> DataFrame:
     width = max(1, -(-total // cells))
     by_cell = parts.select("source", "low", "high", F.explode(F.sequence(
         F.expr(f"low div {width}"), F.expr(f"(high - 1) div {width}"))).alias("cell"))
-    slots = spark.range(total).select(F.col("id").alias("slot"), _at(F.col("id"), total).alias("at"))
+    points = spark.range(total).select(F.col("id").alias("slot"), _point(F.col("id")).alias("point"),
+                                       F.lit(1).alias("one"))
+    slots = running_total(scratch, points, [], ["point"], "one", "at").select("slot", "at")
     owned = scratch.keep(slots.withColumn("cell", F.expr(f"at div {width}")).join(by_cell, "cell")
                          .where("low <= at AND at < high")
                          .select("slot", "source", F.expr(f"slot div {CHUNK}").alias("chunk")))
@@ -121,8 +122,11 @@ def mixture(spark: SparkSession, docs: DataFrame, scratch: Scratch | None = None
         F.xxhash64(F.lit(SEED), F.col("doc_id").cast("long"), F.xxhash64("text")).alias("mixed")))
     goals = scratch.keep(targets(scratch, sizes).withColumn(
         "blocks", F.ceil(F.col("source_size") / BLOCK).cast("long")).withColumn(
-        "wanted", F.when(F.col("source_size") > 0, F.round(
-            F.col("target") * F.col("blocks") / F.col("source_size"))).otherwise(0).cast("long")))
+        "goal", F.round("target").cast("long")).withColumn(
+        # words of the last pass, and slots up to the block of its last word
+        "upto", F.expr("if(goal > 0, (goal - 1) % source_size + 1, 0)")).withColumn(
+        "wanted", F.expr("if(goal > 0, (goal - 1) div source_size * blocks + 1"
+                         " + cast(cast(upto - 1 AS decimal(38,0)) * blocks div source_size AS long), 0)")))
     placed = running_total(scratch, sizes.where("size > 0"), ["source"], ["mixed", "doc_id", "row"],
                            "size", "start")
     placed = bucketed_join(placed.select("row", "source", "size", "start"),
@@ -133,16 +137,17 @@ def mixture(spark: SparkSession, docs: DataFrame, scratch: Scratch | None = None
         F.expr("cast(cast(start + size - 1 AS decimal(38,0)) * blocks div source_size AS long)"))).alias("block"))
     edge = "cast((cast({b} AS decimal(38,0)) * source_size + blocks - 1) div blocks AS long)"
     parts = parts.select(
-        "row", "source", "block",
+        "row", "source", "block", "start",
         (F.greatest(F.expr(edge.format(b="block")), F.col("start")) - F.col("start")).alias("first_word"),
         (F.least(F.expr(edge.format(b="block + 1")), F.col("start") + F.col("size"))
          - F.greatest(F.expr(edge.format(b="block")), F.col("start"))).alias("n_words")).where("n_words > 0")
     slots = bucketed_join(schedule(scratch, goals.select("source", "wanted")),
-                          goals.select("source", "blocks"), ["source"])
-    slots = slots.where(F.col("rank") < F.col("blocks") * REPEATS).select(
-        "slot", "source", F.expr("rank % blocks").alias("block"))
+                          goals.select("source", "blocks", "wanted", "upto"), ["source"])
+    slots = slots.select("slot", "source", F.expr("rank % blocks").alias("block"),
+                         F.expr("if(rank = wanted - 1, upto, null)").alias("upto"))
     mix = bucketed_join(slots, parts, ["source", "block"]).select(
-        "slot", "source", "row", "first_word", "n_words")
+        "slot", "source", "row", "first_word",
+        F.least("n_words", F.col("upto") - F.col("start") - F.col("first_word")).alias("n_words")).where("n_words > 0")
     return bucketed_join(sizes.drop("mixed"), goals.select("source", "source_size", "target"),
                          ["source"]), mix
 

@@ -61,6 +61,22 @@ def test_targets_and_what_is_taken(spark):
     assert sorted(map(str, again)) == sorted(map(str, rows))
 
 
+def test_many_small_sources_get_their_targets(spark):
+    rng = random.Random(5)
+    sizes = {f"s{i:04d}": rng.randint(1, 500) for i in range(2000)} | {"a": 400_000, "z": 300_000}
+    docs = []
+    for source, size in sizes.items():
+        for begin in range(0, size, 5000):
+            docs.append((len(docs), " ".join(["w"] * min(5000, size - begin)), source))
+    source_of = {d[0]: d[2] for d in docs}
+    taken = dict.fromkeys(sizes, 0)
+    for r in mixing.taken_words(spark, frame(spark, docs)).collect():
+        assert 0 <= r.taken <= 2 * r.size
+        taken[source_of[r.doc_id]] += r.taken
+    for source, target in plain_targets(sizes).items():
+        assert abs(taken[source] - target) <= .501 + 1e-6 * target
+
+
 def test_schedule_is_even_everywhere(spark):
     shares = spark.createDataFrame([("a", 300), ("b", 100), (None, 600)], "source string, wanted long")
     rows = sorted(mixing.schedule(Scratch(spark, "test"), shares).collect())
