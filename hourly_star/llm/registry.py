@@ -13,8 +13,10 @@ from hourly_star.llm import (
     sharding,
     simhash,
     toxicity,
+    variants,
 )
 
-MODULES = [simhash, extract, decontaminate, toxicity, sharding, chat, quality, licenses, mixing, repeats]
+MODULES = [simhash, extract, decontaminate, toxicity, sharding, chat, quality, licenses, mixing, repeats,
+           variants]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

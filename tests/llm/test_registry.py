@@ -8,9 +8,9 @@ TABLES = {"op1": "documents", "op2": "pages", "op4": "documents", "op5": "docume
 NAMES = sorted(n for n in contract.queries() if n.startswith("op"))
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_thirteen_operators_and_the_pipeline_are_registered():
     assert [n.split("_")[0] for n in sorted(NAMES, key=lambda n: int(n[2:].split("_")[0]))] == [
-        f"op{i}" for i in range(1, 11)]
+        f"op{i}" for i in range(1, 14)]
     assert "pipeline" in contract.queries()
 
 
