@@ -6,6 +6,7 @@ from hourly_star.llm import (
     chat,
     decontaminate,
     extract,
+    fingerprints,
     licenses,
     mixing,
     quality,
@@ -17,6 +18,6 @@ from hourly_star.llm import (
 )
 
 MODULES = [simhash, extract, decontaminate, toxicity, sharding, chat, quality, licenses, mixing, repeats,
-           variants]
+           variants, fingerprints]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

@@ -65,7 +65,8 @@ def drawn(seed, n_docs=120):
                 word = misspelt(rng, word)
             words.append(rng.choice([word, word.upper(), word.title()]))
         docs.append((None if i == 7 else i // 2, rng.choice(["; ", " ", "\n", "9"]).join(words)))
-    return docs + [(500, None), (501, ""), (502, "\x00 12 _"), (503, docs[0][1]), (503, docs[0][1])]
+    chain = [(900 + i, " ".join(["planted"] * 6 + ["plantes"] * (i < 40) + ["plantesx"] * (i < 6))) for i in range(60)]
+    return docs + chain + [(500, None), (501, ""), (502, "\x00 12 _"), (503, docs[0][1]), (503, docs[0][1])]
 
 
 def frame(spark, docs):
@@ -79,7 +80,7 @@ def test_rows_equal_brute_force(spark, seed):
     got = [tuple(r) for r in variants.spelling_variants(spark, df).collect()]
     expected = plain_variants(docs)
     assert set(got) == expected and len(got) == len(expected)
-    assert any(form and root != form for _, form, root, *_ in expected)  # chains occur
+    assert any(form not in (None, root) for _, form, root, *_ in expected)  # chains occur
 
 
 def test_many_small_filters_give_the_same_pairs(spark):
@@ -132,8 +133,8 @@ def test_filters_hold_every_word_and_few_others(spark):
 def test_a_very_long_run_and_empty_tables(spark):
     long = "ab" * 30_000
     docs = [(i, f"{long} {long}s") for i in range(5)]
+    assert plain_words(docs) == {long: 5, long + "s": 5}
     assert {tuple(r) for r in variants.spelling_variants(spark, frame(spark, docs)).collect()} == {
-        (long, None, long, 5, 1, None), (long + "s", None, long + "s", 5, 1, None)} or plain_words(docs).keys() != {
-        long, long + "s"}
+        (long, None, long, 5, 1, None), (long + "s", None, long + "s", 5, 1, None)}
     for empty in ([], [(1, None), (2, "short")]):
         assert variants.spelling_variants(spark, frame(spark, empty)).collect() == []
