@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from hourly_star.llm import (
     chat,
+    collocations,
     decontaminate,
     extract,
     fingerprints,
@@ -18,6 +19,6 @@ from hourly_star.llm import (
 )
 
 MODULES = [simhash, extract, decontaminate, toxicity, sharding, chat, quality, licenses, mixing, repeats,
-           variants, fingerprints]
+           variants, fingerprints, collocations]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
