@@ -162,26 +162,18 @@ def taken_words(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents as often as the mix takes them, all columns as they were.
+    """The documents as often as the mix takes them, whole, all columns as they were.
 
-    The last documents the mix reaches in a source may be taken in part; such a
-    row holds the first words of the text, one space apart, and its n_chars.
+    The mix ends inside one document of a source; that one is taken once more
+    or not by which is nearer the target. Columns may have any names.
     """
     scratch = Scratch(spark, "mix")
-    numbered = scratch.keep(docs.withColumn("_row", F.monotonically_increasing_id()))
-    sized, mix = mixture(spark, numbered, scratch, F.col("_row"))
-    taken = mix.groupBy("row").agg(F.sum("n_words").alias("_taken"))
-    counts = sized.join(taken, "row").select(F.col("row").alias("_row"), F.explode(F.expr(
-        "transform(sequence(0, cast((_taken - 1) div size AS int)),"
-        " i -> if(_taken - i * size >= size, null, _taken - i * size))")).alias("_words"))
-    rows = numbered.join(counts, "_row")
-    cut = F.array_join(F.slice(F.filter(F.split("text", WHITE_SPACE), lambda w: w != ""), 1,
-                               F.col("_words").cast("int")), " ")
-    new = {"text": F.when(F.col("_words").isNull(), F.col("text")).otherwise(cut)}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_words").isNull(), F.col("n_chars")).otherwise(
-            F.length(cut).cast("long"))
-    return rows.withColumns(new).select(*docs.columns)
+    numbered = scratch.keep(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")))
+    sized, mix = mixture(spark, numbered.select("row", "doc.doc_id", "doc.source", "doc.text"), scratch, F.col("row"))
+    taken = mix.groupBy("row").agg(F.sum("n_words").alias("taken"))
+    times = F.expr("cast(taken div size + if(2 * (taken % size) >= size, 1, 0) AS int)")
+    counts = sized.join(taken, "row").select("row", F.explode(F.array_repeat(F.lit(True), times)).alias("copy"))
+    return numbered.join(counts, "row").select("doc.*")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,13 +107,12 @@ def sharded_ids(spark: SparkSession, docs: DataFrame, shards: int = SHARDS) -> D
 
 
 def sharded(spark: SparkSession, docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """All columns of the documents, and shard and slot."""
+    """All columns of the documents, which may have any other names, and shard and slot."""
     scratch = Scratch(spark, "shards")
-    rows = scratch.keep(docs.withColumns({"_part": F.spark_partition_id().cast("long"),
-                                          "_id": F.monotonically_increasing_id()}))
-    keys = rows.select(F.col("_part").alias("part"), F.col("_id").alias("at"))
-    placed = assignments(scratch, keys, shards)
-    return rows.join(placed, F.col("_id") == F.col("at")).select(*docs.columns, "shard", "slot")
+    rows = scratch.keep(docs.select(F.struct("*").alias("doc"), F.spark_partition_id().cast("long").alias("part"),
+                                    F.monotonically_increasing_id().alias("at")))
+    placed = assignments(scratch, rows.select("part", "at"), shards).select("at", "shard", "slot")
+    return rows.join(placed, "at").select("doc.*", "shard", "slot")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,9 +197,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS,
 def one_of_each(spark: SparkSession, docs: DataFrame, words: int = WORDS, radius: int = RADIUS,
                 bucket: int = BUCKET) -> DataFrame:
     """One document of each component, all columns as they were: that of the least
-    doc_id, null last, and of equal ids that of the least hash of the whole row."""
+    doc_id, null last, and of equal ids that of the least hash of the whole row.
+    Columns may have any names."""
     scratch = Scratch(spark, "simhash")
-    kept = docs.withColumn("_hash", F.xxhash64(*docs.columns))
+    kept = docs.select(F.struct("*").alias("doc"), F.xxhash64(*docs.columns).alias("_hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,7 +211,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, words: int = WORDS, radius
                 ["doc_id", "fp", "_hash"])
 
     prints = scratch.keep(map_rows(
-        kept.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "_hash"),
+        kept.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"), "_hash"),
         "doc_id long, fp long, _hash long", run))
     classes = _classes(scratch, prints, radius, bucket)
     first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_hash")
@@ -219,11 +220,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, words: int = WORDS, radius
               .groupBy("root").agg(F.min(F.struct(first.alias("first"), "copies")).alias("c"))
               .select(F.col("c.first.doc_id").alias("_id"), F.col("c.first._hash").alias("_chosen"),
                       "c.copies"))
-    rows = kept.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    rows = kept.join(chosen, F.col("doc.doc_id").cast("long").eqNullSafe(F.col("_id"))
                      & (F.col("_hash") == F.col("_chosen")))
     # only where the very same row comes several times are rows compared
-    once = rows.where("copies = 1").select(*docs.columns)
-    return once.union(rows.where("copies > 1").select(*docs.columns).dropDuplicates())
+    once = rows.where("copies = 1").select("doc.*")
+    return once.union(rows.where("copies > 1").select("doc.*").dropDuplicates())
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,8 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from hourly_star.llm import mixing
 from hourly_star.llm.common import Scratch
 
@@ -90,21 +92,22 @@ def test_schedule_is_even_everywhere(spark):
             assert abs(here - 100 * share) <= 5
 
 
-def test_stage_repeats_and_cuts_documents(spark):
+def test_stage_repeats_whole_documents(spark):
     docs = documents(2)
     docs = [d for d in docs if d[0] != 7007]  # a document with its own id each
-    source = frame(spark, docs)
+    source = frame(spark, docs).withColumn("row", F.lit("clash"))
     mixed = mixing.mixed(spark, source)
     assert mixed.columns == source.columns
-    words = {}
-    of = {d[0]: (d[1] or "") for d in docs}
+    of, times = {r.doc_id: r for r in source.collect()}, {}
     for r in mixed.collect():
-        whole = of[r.doc_id].split()
-        assert r.text.split() == whole[:len(r.text.split())]
-        assert r.text == of[r.doc_id] or r.n_chars == len(r.text)
-        words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
-    taken = {r.doc_id: r.taken for r in mixing.taken_words(spark, source).collect()}
-    assert words == {k: v for k, v in taken.items() if v}
+        assert r == of[r.doc_id]
+        times[r.doc_id] = times.get(r.doc_id, 0) + 1
+    rows = mixing.taken_words(spark, source).collect()
+    for r in rows:  # the last copy by which is nearer
+        full, rest = divmod(r.taken, r.size) if r.size else (0, 0)
+        assert times.get(r.doc_id, 0) == full + (r.size > 0 and 2 * rest >= r.size)
+    partial = [r for r in rows if r.size and r.taken % r.size]
+    assert len(partial) <= len({of[r.doc_id].source for r in rows})
 
 
 def test_one_source_and_no_words(spark):
