@@ -8,6 +8,7 @@ The oracle text of the same mapping stands next to each Spark form.
 from __future__ import annotations
 
 import uuid
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from hourly_star.operators.revisions import fold
 from hourly_star.plans.ingest import store_reference
 from hourly_star.plans.star import dim_date, dim_pollutant, fact, staged_readings
-from hourly_star.schemas import CONCENTRATION
+from hourly_star.schemas import CONCENTRATION, POLLUTANTS
 from hourly_star.session import prepare, shared_dir, stage
 from hourly_star.sources import reference
 from hourly_star.sources.tables import Warehouse
@@ -25,6 +26,10 @@ CODES = ["pm2_5", "pm10", "nitrogen_dioxide", "ozone"]
 UNITS = {code: "ug/m3" for code in CODES}
 EVENT_CODES = {"view": "pm2_5", "click": "pm10", "purchase": "nitrogen_dioxide",
                "signup": "ozone"}
+# Events of any other type are readings of one more variable of the documents.
+OTHER = "unknown"
+DOC_CODES = [*CODES, OTHER]
+DOC_UNITS = {code: "ug/m3" for code in DOC_CODES}
 USERS_PER_LOCATION = 25
 FIRST_DAY = "2024-01-01"
 
@@ -44,7 +49,7 @@ def plain(df: DataFrame) -> DataFrame:
 def submissions(spark: SparkSession, sf_dir: str, coarse: bool = False) -> DataFrame:
     """One row per event. `coarse` values repeat often, so not all revisions change."""
     events = table(spark, sf_dir, "events")
-    code = F.lit("unknown")
+    code = F.lit(OTHER)
     for kind, name in EVENT_CODES.items():
         code = F.when(F.col("event_type") == kind, name).otherwise(code)
     value = F.floor(F.col("value") / 10) * 10 if coarse else F.col("value")
@@ -130,8 +135,15 @@ def star(spark: SparkSession, sf_dir: str, plausible_max: float | None = None,
     }
 
 
-def pollutants_sql(plausible_max: str | None = None) -> str:
+def document_reference(spark: SparkSession) -> DataFrame:
+    """The reference rows, and one for the further variable of the documents."""
+    return reference.seed(spark).unionByName(spark.createDataFrame(
+        [(OTHER, "Other", "ug/m3", Decimal("50.0"), 24, Decimal("1000.0"), 5)], POLLUTANTS))
+
+
+def pollutants_sql(plausible_max: str | None = None, documents: bool = False) -> str:
     top = {"pm10": "2000.0"}
+    other = (("unknown", "Other", "50.0", 24, 5),) if documents else ()
     return "pollutants AS (SELECT * FROM (VALUES " + ", ".join(
         f"('{code}', '{name}', 'ug/m3', CAST({guide} AS DECIMAL(10,3)), "
         f"CAST({hours} AS SMALLINT), "
@@ -139,7 +151,7 @@ def pollutants_sql(plausible_max: str | None = None) -> str:
         f"CAST({order} AS SMALLINT))"
         for code, name, guide, hours, order in (
             ("pm2_5", "PM2.5", "15.0", 24, 1), ("pm10", "PM10", "45.0", 24, 2),
-            ("nitrogen_dioxide", "NO2", "25.0", 24, 3), ("ozone", "O3", "100.0", 8, 4))
+            ("nitrogen_dioxide", "NO2", "25.0", 24, 3), ("ozone", "O3", "100.0", 8, 4), *other)
     ) + (") AS v(pollutant_key, display_name, unit, who_guideline, who_averaging_hours, "
          "plausible_max, sort_order))")
 
@@ -198,10 +210,10 @@ def documents(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFr
     1, so the second issue revises the first. With `corrupt`, most documents
     get one defect, chosen by their id.
     """
-    known = _located(submissions(spark, sf_dir)).filter(F.col("pollutant_code") != "unknown")
+    known = _located(submissions(spark, sf_dir))
     day, issue = F.to_date("measured_at_utc").alias("day"), (F.col("response_id") % 2).alias("issue")
     cell = F.concat_ws("|", "pollutant_code", F.hour("measured_at_utc"))
-    # Latest value per cell first: a document gathers 96 cells at most.
+    # Latest value per cell first: a document gathers 120 cells at most.
     cells = known.groupBy("location_code", "loc_no", day, issue, cell.alias("cell")).agg(
         F.max_by("value", "response_id").cast("double").alias("value"),
         F.max("ingested_at").alias("ingested_at"))
@@ -236,7 +248,7 @@ def _times() -> Column:
 def _units() -> dict[str, Column]:
     # Both spellings of the unit occur.
     spelled = F.when(F.col("issue") == 0, "μg/m³").otherwise("µg/m³")
-    return {code: spelled for code in CODES}
+    return {code: spelled for code in DOC_CODES}
 
 
 def _json(offset: Column, units: dict[str, Column], times: Column,
@@ -250,7 +262,7 @@ def _json(offset: Column, units: dict[str, Column], times: Column,
 
 
 def _payload() -> Column:
-    return _json(F.lit(0), _units(), _times(), {code: _series(code) for code in CODES})
+    return _json(F.lit(0), _units(), _times(), {code: _series(code) for code in DOC_CODES})
 
 
 DEFECTS = 12
@@ -273,7 +285,8 @@ def _corrupted_payload() -> Column:
          "nitrogen_dioxide": _series("nitrogen_dioxide"),
          "ozone": F.when(k == 4, nothing)
          .when(k == 9, F.concat(F.array(F.lit(1e8)), F.slice(_series("ozone"), 2, 23)))
-         .otherwise(_series("ozone"))},
+         .otherwise(_series("ozone")),
+         OTHER: _series(OTHER)},
     )
     return F.when(k == 8, F.substring(body, 1, 200)).otherwise(body)
 
@@ -281,7 +294,7 @@ def _corrupted_payload() -> Column:
 DOCS_SQL = """known AS (
   SELECT *, CAST(substr(location_code, 5) AS BIGINT) AS loc_no,
     CAST(measured_at_utc AS DATE) AS day, response_id % 2 AS issue,
-    hour(measured_at_utc) AS h FROM sub WHERE pollutant_code <> 'unknown'),
+    hour(measured_at_utc) AS h FROM sub),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY location_code, day, issue, h, pollutant_code
     ORDER BY response_id DESC) AS back FROM known),
@@ -297,7 +310,7 @@ cells AS (
     'ug/m3' AS unit
   FROM docs d
   CROSS JOIN (SELECT unnest(range(24)) AS h) g
-  CROSS JOIN (SELECT unnest(['pm2_5', 'pm10', 'nitrogen_dioxide', 'ozone'])
+  CROSS JOIN (SELECT unnest(['pm2_5', 'pm10', 'nitrogen_dioxide', 'ozone', 'unknown'])
     AS pollutant_code) c
   LEFT JOIN ranked r ON r.back = 1 AND r.location_code = d.location_code AND r.day = d.day
     AND r.issue = d.issue AND r.h = g.h AND r.pollutant_code = c.pollutant_code)"""
@@ -318,5 +331,5 @@ def scratch_warehouse(spark: SparkSession) -> Warehouse:
     """An empty set of tables in the shared folder, under a name of its own."""
     tag = uuid.uuid4().hex[:12]
     warehouse = Warehouse(spark, f"{shared_dir(prepare(spark))}/run_{tag}", f"run_{tag}_").create()
-    store_reference(warehouse, reference.seed(spark))
+    store_reference(warehouse, document_reference(spark))
     return warehouse

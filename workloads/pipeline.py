@@ -20,7 +20,7 @@ from hourly_star.sources.tables import Warehouse
 from hourly_star.streaming.upsert_stream import envelope_stream, start_upserts
 from workloads.star import star_checks_sql
 from workloads.mapping import (
-    CODES, DEFECTS, DOCS_SQL, KEYS, UNITS, documents, dates_sql, envelopes, fact_sql, fold_sql,
+    DEFECTS, DOC_CODES, DOC_UNITS, DOCS_SQL, KEYS, documents, dates_sql, envelopes, fact_sql, fold_sql,
     plain, pollutants_sql, scratch_warehouse, sub_sql,
 )
 
@@ -36,23 +36,23 @@ def _times(batch: int) -> datetime:
 
 
 def parsed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse_responses(documents(spark, sf_dir), CODES, UNITS,
+    parsed = parse_responses(documents(spark, sf_dir), DOC_CODES, DOC_UNITS,
                              as_of=F.lit(FAR).cast("timestamp"))
     return plain(readings(parsed))
 
 
 def parse_forecast_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours after the last event of a document are forecasts."""
-    return dropped_forecast(parse_responses(documents(spark, sf_dir), CODES, UNITS))
+    return dropped_forecast(parse_responses(documents(spark, sf_dir), DOC_CODES, DOC_UNITS))
 
 
 def guard_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejected(parse_responses(documents(spark, sf_dir, corrupt=True), CODES, UNITS,
+    return rejected(parse_responses(documents(spark, sf_dir, corrupt=True), DOC_CODES, DOC_UNITS,
                                     as_of=F.lit(FAR).cast("timestamp")))
 
 
 def dry_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = dry_run(envelopes(documents(spark, sf_dir, corrupt=True)), CODES,
+    counts = dry_run(envelopes(documents(spark, sf_dir, corrupt=True)), DOC_CODES,
                      datetime(2024, 1, 20, 9))
     return counts.groupBy("location_code", "guard_error").agg(
         F.count(F.lit(1)).alias("n_documents"), F.sum("submitted").alias("submitted"),
@@ -88,7 +88,7 @@ def raw_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _fetched(spark, sf_dir, warehouse)
     for i, issue in enumerate(BATCHES):
         land(warehouse, docs[issue], _times(i))
-    rebuilt = replay(warehouse.read("responses"), UNITS)
+    rebuilt = replay(warehouse.read("responses"), DOC_UNITS)
     rows = with_lineage(rebuilt, warehouse.read("responses"))
     return plain(rows.select(*KEYS.split(", "), "value", "unit", "request_url",
                              "first_loaded_at", "loaded_at"))
@@ -118,18 +118,20 @@ def fct_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fct_schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The model gains a column before the second increment."""
+    """The model gains a column after the first increment."""
     warehouse = scratch_warehouse(spark)
     docs = _fetched(spark, sf_dir, warehouse)
-    ingest(warehouse, docs[0], _times(0))
-    build_star(warehouse)
-    ingest(warehouse, docs[1], _times(1))
-    changed = warehouse.read("hourly_readings").filter(
-        F.col("loaded_at") >= F.lit(str(_times(1))).cast("timestamp"))
-    batch = fact(staged_readings(changed), warehouse.read("dim_pollutant")).withColumn(
-        "is_high", F.col("concentration") > 50).withColumn(
-        "utc_date", F.to_date("measured_at_utc"))
-    merge(warehouse, "fct_hourly_readings", batch, list(FACT_KEY))
+    for i, issue in enumerate(BATCHES):
+        ingest(warehouse, docs[issue], _times(i))
+        if i == 0:
+            build_star(warehouse)
+            continue
+        changed = warehouse.read("hourly_readings").filter(
+            F.col("loaded_at") >= F.lit(str(_times(i))).cast("timestamp"))
+        batch = fact(staged_readings(changed), warehouse.read("dim_pollutant")).withColumn(
+            "is_high", F.col("concentration") > 50).withColumn(
+            "utc_date", F.to_date("measured_at_utc"))
+        merge(warehouse, "fct_hourly_readings", batch, list(FACT_KEY))
     return plain(warehouse.read("fct_hourly_readings").select(
         "reading_key", "concentration", "is_high", "source_loaded_at"))
 
@@ -209,8 +211,7 @@ _STATE_SQL = f"""{_runs_sql()} SELECT f.location_code, f.pollutant_code, f.measu
     f.unit, d.request_url, f.first_loaded_at, f.loaded_at
     FROM folded f JOIN docs d ON d.doc_id = f.source_response_id % 1000000000"""
 
-_TWO = f"{_runs_sql(BATCHES[:2])}, {pollutants_sql()}, {fact_sql()}, {dates_sql()}"
-_ALL = f"{_runs_sql()}, {pollutants_sql()}, {fact_sql()}, {dates_sql()}"
+_ALL = f"{_runs_sql()}, {pollutants_sql(documents=True)}, {fact_sql()}, {dates_sql()}"
 
 _REASONS = " ".join(f"WHEN {k} THEN '{reason}'" for k, reason in (
     (1, "utc_offset"), (2, "utc_offset"), (3, "no_time_axis"), (4, "missing:ozone"),
@@ -262,7 +263,7 @@ ORACLES = {
         CAST(0 AS BIGINT) AS rejected FROM folded_log GROUP BY 1""",
     "fct_incremental": f"""{_ALL} SELECT f.* EXCLUDE (source_response_id), d.request_url
         FROM fct f JOIN docs d ON d.doc_id = f.source_response_id % 1000000000""",
-    "fct_schema_append": f"""{_TWO} SELECT reading_key, concentration,
+    "fct_schema_append": f"""{_ALL} SELECT reading_key, concentration,
         CASE WHEN source_loaded_at >= TIMESTAMP '{_times(1)}' THEN concentration > 50 END
           AS is_high, source_loaded_at FROM fct""",
 }
