@@ -29,6 +29,17 @@ def changed_since(df: DataFrame, mark: str, column: str = "loaded_at") -> DataFr
     return df.filter(F.col(column) >= F.lit(mark).cast("timestamp"))
 
 
+def pending(warehouse: Warehouse, consumed: int) -> tuple[DataFrame, str, int]:
+    """Days in the change log after entry `consumed`, the earliest load time on them, the last entry.
+
+    What to look at follows from the log alone: neither the table that is
+    brought up to date nor the readings are scanned for it.
+    """
+    entries = warehouse.read("reading_changes").filter(F.col("seq") > F.lit(consumed))
+    since, last = entries.agg(F.min("since").cast("string"), F.max("seq")).first()
+    return entries.select("utc_date").distinct(), since or BEGINNING, last or consumed
+
+
 def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Target without the keys of the batch, plus the batch.
 

@@ -14,8 +14,8 @@ from hourly_star.operators.constraints import (
 from hourly_star.operators.parse import (
     dropped_forecast, parse_responses, readings, refuse, rejected,
 )
-from hourly_star.operators.revisions import fold
-from hourly_star.operators.upsert import upsert
+from hourly_star.operators.revisions import INSERTED, fold
+from hourly_star.operators.upsert import CELL, note_changes, placed, upsert
 from hourly_star.session import instant, stage
 from hourly_star.sources import reference
 from hourly_star.schemas import READING_KEY
@@ -79,10 +79,9 @@ def _note_refusals(warehouse: Warehouse, bad: DataFrame, landed: DataFrame, pars
 def rebuild(warehouse: Warehouse) -> int:
     """Write the readings table anew from the raw log; returns the number of readings."""
     units = reference.expected_units(warehouse.read("pollutants"))
-    rows = replay(warehouse.read("responses"), units).withColumn(
-        "utc_date", F.to_date("measured_at_utc"))
-    whole = stage(rows, warehouse.staging_path("rebuild"))
-    warehouse.replace_all("hourly_readings", by_partition(whole, "utc_date", *READING_KEY))
+    whole = stage(placed(replay(warehouse.read("responses"), units)), warehouse.staging_path("rebuild"))
+    note_changes(warehouse, whole.withColumn("action", F.lit(INSERTED)))
+    warehouse.replace_all("hourly_readings", by_partition(whole, CELL, *READING_KEY))
     return whole.count()
 
 

@@ -13,8 +13,10 @@ from hourly_star.functions.calendar import (
 from hourly_star.functions.keys import reading_key
 from hourly_star.functions.predicates import exceeds
 from hourly_star.operators.constraints import enforce_domain
-from hourly_star.operators.incremental import changed_since, merge, watermark
+from hourly_star.operators.incremental import changed_since, merge, pending
+from hourly_star.operators.upsert import in_days
 from hourly_star.schemas import FACT_KEY
+from hourly_star.session import stage
 from hourly_star.sources.tables import Warehouse
 
 # --- Fixed values: the local calendar the results are reported on.
@@ -126,9 +128,11 @@ def build_star(warehouse: Warehouse, full_refresh: bool = False, zone: str = TIM
                weekend: Iterable[int] = WEEKEND, padding: bool = True) -> int:
     """Rebuild both dimensions, then bring the fact up to date.
 
-    Returns the number of fact rows written. Without `full_refresh` only
-    readings changed since the fact's own watermark are read, and only the
-    days they fall on are rewritten.
+    Returns the number of fact rows written. Without `full_refresh` only days
+    that the change log names after the last run are read, of them only
+    readings loaded since, and only days with news are rewritten. A run that
+    dies before it is noted in analytics.star_runs is done again, which
+    changes nothing. Where no run was noted, all of the log is taken up.
     """
     enforce_domain(warehouse.read("pollutants"))
     staged = staged_readings(warehouse.read("hourly_readings"), zone)
@@ -138,13 +142,26 @@ def build_star(warehouse: Warehouse, full_refresh: bool = False, zone: str = TIM
     warehouse.replace_all("dim_pollutant", dim_pollutant(warehouse.read("pollutants")))
 
     pollutants = warehouse.read("dim_pollutant")
-    target = warehouse.read("fct_hourly_readings")
+    consumed = warehouse.read("star_runs").agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+    days, since, last = pending(warehouse, consumed)
     if full_refresh:
         # Readings are laid out by the same date, so nothing is shuffled.
         warehouse.replace_all("fct_hourly_readings", _dated(fact(staged, pollutants)))
-        return warehouse.read("fct_hourly_readings").count()
-    batch = fact(changed_since(staged, watermark(target)), pollutants)
-    return merge(warehouse, "fct_hourly_readings", _dated(batch), list(FACT_KEY))
+        n = warehouse.read("fct_hourly_readings").count()
+        _note_run(warehouse, last, None, n, n)
+        return n
+    if last == consumed:
+        return 0
+    news_of = changed_since(in_days(warehouse.read("hourly_readings"), days), since)
+    batch = stage(_dated(fact(staged_readings(news_of, zone), pollutants)), warehouse.staging_path("increment"))
+    written = merge(warehouse, "fct_hourly_readings", batch, list(FACT_KEY))
+    _note_run(warehouse, last, days.count(), batch.count(), written)
+    return written
+
+
+def _note_run(warehouse: Warehouse, seq: int, days: int | None, read: int, written: int) -> None:
+    warehouse.append("star_runs", warehouse.spark.createDataFrame(
+        [(seq, days, read, written)], "seq long, days long, rows_read long, rows_written long").coalesce(1))
 
 
 def create_staging_view(warehouse: Warehouse, zone: str = TIME_ZONE) -> str:

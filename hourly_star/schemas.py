@@ -89,6 +89,22 @@ READINGS = _struct(
     ("first_loaded_at", "timestamp", "never moves"),
     ("loaded_at", "timestamp", "when value or unit last changed"),
     ("utc_date", "date", ""),
+    ("bucket", "int", "of the location"),
+)
+
+CHANGES = _struct(
+    ("seq", "long", "increases with every upsert that writes"),
+    ("utc_date", "date", "a day it wrote"),
+    ("since", "timestamp", "earliest load time among the rows it wrote there"),
+    ("inserted", "long", ""),
+    ("changed", "long", ""),
+)
+
+STAR_RUNS = _struct(
+    ("seq", "long", "changes up to here are in the fact"),
+    ("days", "long", "days the increment looked at"),
+    ("rows_read", "long", "changed readings on them"),
+    ("rows_written", "long", "of which the fact did not hold"),
 )
 
 DIM_DATE = _struct(
@@ -140,8 +156,10 @@ TABLES = {
     "refusals": Table("raw", REFUSALS, ("ingest_date", "ingest_batch"),
                       "Envelopes and responses that were refused, and why"),
     "pollutants": Table("staging", POLLUTANTS, (), "Reference domain of measured variables"),
-    "hourly_readings": Table("staging", READINGS, ("utc_date",),
+    "hourly_readings": Table("staging", READINGS, ("utc_date", "bucket"),
                              "One row per location, pollutant and hour"),
+    "reading_changes": Table("staging", CHANGES, (), "Days that upserts wrote, for what is built on readings"),
+    "star_runs": Table("analytics", STAR_RUNS, (), "What each increment of the fact took up"),
     "dim_date": Table("analytics", DIM_DATE, (), "One row per local calendar day"),
     "dim_pollutant": Table("analytics", DIM_POLLUTANT, (), "One row per pollutant"),
     "fct_hourly_readings": Table("analytics", FACT, ("utc_date",),

@@ -101,7 +101,11 @@ class Warehouse:
     def replace_all(self, table: str, df: DataFrame) -> None:
         self._insert(table, df, "static")
 
-    def _insert(self, table: str, df: DataFrame, mode: str) -> None:
+    def append(self, table: str, df: DataFrame) -> None:
+        """Add rows to a small table without partitions."""
+        self._insert(table, df, "static", overwrite=False)
+
+    def _insert(self, table: str, df: DataFrame, mode: str, overwrite: bool = True) -> None:
         # insertInto goes by position.
         target = self.read(table)
         have = set(df.columns)
@@ -112,7 +116,7 @@ class Warehouse:
         ])
         # The rows may belong to another session, as those of a micro-batch do.
         with partition_overwrite(df.sparkSession, mode):
-            ordered.write.insertInto(self.name(table), overwrite=True)
+            ordered.write.insertInto(self.name(table), overwrite=overwrite)
         self.spark.catalog.refreshTable(self.name(table))
 
 
@@ -122,10 +126,11 @@ def _column_ddl(field: T.StructField) -> str:
     return f"{text} COMMENT '{comment}'" if comment else text
 
 
-def by_partition(df: DataFrame, column: str, *order: str) -> DataFrame:
+def by_partition(df: DataFrame, column: str | tuple[str, ...], *order: str) -> DataFrame:
     """Gather rows of a partition into few files before a write, sorted inside.
 
     Rebalancing lets adaptive execution split a partition that is far larger
     than the others over several tasks, and join small ones.
     """
-    return df.hint("rebalance", F.col(column)).sortWithinPartitions(column, *order)
+    columns = [column] if isinstance(column, str) else list(column)
+    return df.hint("rebalance", *[F.col(c) for c in columns]).sortWithinPartitions(*columns, *order)

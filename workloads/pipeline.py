@@ -117,6 +117,16 @@ def fct_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
                              "request_url"))
 
 
+def increment_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each increment of the fact read and wrote, by the notes of its run."""
+    warehouse = scratch_warehouse(spark)
+    docs = _fetched(spark, sf_dir, warehouse)
+    for i, issue in enumerate(BATCHES):
+        ingest(warehouse, docs[issue], _times(i))
+        build_star(warehouse)
+    return warehouse.read("star_runs").select("seq", "days", "rows_read", "rows_written")
+
+
 def fct_schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model gains a column after the first increment."""
     warehouse = scratch_warehouse(spark)
@@ -190,7 +200,7 @@ def land_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     ingest_with_refusals, rebuild_tables, land_repeated,
     daily_checks, parse_forecast_drop, guard_violations, dry_run_counts, upsert_tables, raw_replay, run_summary,
-    fct_incremental, fct_schema_append, stream_upsert,
+    fct_incremental, increment_profile, fct_schema_append, stream_upsert,
 )}
 QUERIES["parse_responses"] = parsed_responses
 
@@ -263,6 +273,10 @@ ORACLES = {
         CAST(0 AS BIGINT) AS rejected FROM folded_log GROUP BY 1""",
     "fct_incremental": f"""{_ALL} SELECT f.* EXCLUDE (source_response_id), d.request_url
         FROM fct f JOIN docs d ON d.doc_id = f.source_response_id % 1000000000""",
+    # a batch submits a reading once, so what it inserts or changes is what an increment has to read
+    "increment_profile": f"""{_runs_sql()} SELECT response_id // 1000000000 + 1 AS seq,
+        count(DISTINCT CAST(measured_at_utc AS DATE)) AS days, count(*) AS rows_read, count(*) AS rows_written
+        FROM folded_log WHERE action <> 'N' GROUP BY 1""",
     "fct_schema_append": f"""{_ALL} SELECT reading_key, concentration,
         CASE WHEN source_loaded_at >= TIMESTAMP '{_times(1)}' THEN concentration > 50 END
           AS is_high, source_loaded_at FROM fct""",
