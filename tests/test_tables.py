@@ -12,6 +12,7 @@ from hourly_star.plans.daily import CheckFailure, daily_run, raise_on_failure
 from hourly_star.plans.ingest import dry_run, ingest, rebuild, replay, store_reference
 from hourly_star.plans.star import build_star, fact, staged_readings
 from hourly_star.operators.incremental import drift, merge, watermark
+from hourly_star.operators.upsert import BUCKETS, merged_cells
 from hourly_star.schemas import FACT_KEY, POLLUTANT_ROWS, POLLUTANTS
 from hourly_star.sources.landing import covering, digest_counts, newest_first, read_documents
 from hourly_star.sources import reference
@@ -104,6 +105,53 @@ def test_only_touched_days_are_rewritten(spark, warehouse):
     assert not any(p in now for p in set(files) - kept)
 
 
+def test_one_changed_reading_rewrites_one_bucket(spark, warehouse):
+    places = [f"place{i}" for i in range(12)]
+    docs = [envelopes(spark, body(DAY, values()), location=p).withColumn("document", F.lit(p)) for p in places]
+    whole = docs[0]
+    for other in docs[1:]:
+        whole = whole.unionByName(other)
+    ingest(warehouse, whole, T)
+    held = warehouse.read("hourly_readings").select("location_code", "bucket").distinct().collect()
+    bucket = dict(map(tuple, held))
+    assert set(bucket.values()) == set(range(BUCKETS))
+    files = files_of(warehouse, "hourly_readings")
+    ingest(warehouse, envelopes(spark, body(DAY, values(h3=0.5)), location="place3"), T + timedelta(days=1))
+    now = files_of(warehouse, "hourly_readings")
+    kept = {p for p in files if f"/bucket={bucket['place3']}/" not in str(p)}
+    assert kept and all(now.get(p) == files[p] for p in kept)
+    assert not any(p in now for p in set(files) - kept)
+    assert warehouse.read("hourly_readings").count() == 12 * 96
+
+
+def test_the_upsert_reads_its_cells_once_and_joins_once(spark, warehouse):
+    ingest(warehouse, envelopes(spark, body(DAY, values())), T)
+    again = warehouse.read("hourly_readings").select(
+        "location_code", "pollutant_code", "measured_at_utc", "value", "unit",
+        F.lit(9).cast("long").alias("response_id"), F.col("loaded_at").alias("ingested_at"))
+    again = spark.createDataFrame(again.collect(), again.schema)
+    plan = merged_cells(warehouse.read("hourly_readings"), again)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation spark_catalog") == 1 and plan.count("Join ") == 1 and "Join FullOuter" in plan
+
+
+def test_the_change_log_tells_the_fact_what_to_read(spark, warehouse):
+    other = [t.replace("09-19", "09-18") for t in DAY]
+    ingest(warehouse, envelopes(spark, body(DAY, values()), body(other, values())), T)
+    build_star(warehouse)
+    ingest(warehouse, envelopes(spark, body(DAY, values(h3=0.5)), body(other, values())), T + timedelta(days=1))
+    ingest(warehouse, envelopes(spark, body(DAY, values(h3=0.5))), T + timedelta(days=2))  # nothing new: no entry
+    log = [(r.seq, r.utc_date.day, r.inserted, r.changed) for r in warehouse.read("reading_changes").collect()]
+    assert sorted(log) == [(1, 18, 96, 0), (1, 19, 96, 0), (2, 19, 0, 4)]
+    assert build_star(warehouse) == 4 and build_star(warehouse) == 0
+    runs = sorted(tuple(r) for r in warehouse.read("star_runs").collect())
+    assert runs == [(1, 2, 192, 192), (2, 1, 4, 4)]
+    # a run that died before its note is done again, without effect
+    before = fact_rows(warehouse)
+    warehouse.replace_all("star_runs", spark.createDataFrame([(1, 2, 192, 192)], warehouse.read("star_runs").schema))
+    assert build_star(warehouse) == 0 and fact_rows(warehouse) == before
+    assert rebuild(warehouse) == 192 and build_star(warehouse) == 0 and fact_rows(warehouse) == before
+
+
 def test_nulls_are_stored_and_filled_in_later(spark, warehouse):
     ingest(warehouse, envelopes(spark, body(DAY, values(h5=None))), T)
     assert warehouse.read("hourly_readings").filter("value IS NULL").count() == 4
