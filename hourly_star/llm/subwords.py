@@ -2,26 +2,32 @@
 
 A word is the average of the vectors of its character n-grams (and of the word
 itself), a window the average of its words, and a linear softmax over the
-window vector says how likely label 1 is. A text is as toxic as its worst
-window, so a few words in a long text still count. Embeddings and softmax are
-trained together. A misspelling nobody has seen shares most n-grams, and so
-most of its vector, with the word it stands for.
+window vector says how likely label 1 is. A text is as toxic as its `WORST`
+worst windows on average, so a few words in a long text still count, and one
+word that looks odd by chance does not. Embeddings and softmax are trained
+together. A misspelling nobody has seen shares most n-grams, and so most of its
+vector, with the word it stands for; n-grams that only one text has are not
+learnt, as they would only know that text by heart.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
-GRAMS = (3, 4, 5)
+GRAMS = (4, 5, 6)
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 WINDOW = 5
+WORST = 10  # windows; a word is in five of them, so two words apart count in full
 PIECE = 1 << 18  # code points worked on at a time, whatever the length of a text
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _OPEN, _CLOSE = ord("<"), ord(">")
 _SPACE, _INSIDE, _LETTER = 0, 1, 2
+_SPACES = re.compile(r"\s")
 _kinds: list[np.ndarray] = []
 
 
@@ -111,9 +117,8 @@ def _pieces(texts: list[str | None]) -> tuple[list[list[str]], list[list[int]]]:
     """Lower-cased texts in lists of bounded length; a long text is cut at white space."""
     lists, numbers, held = [[]], [[]], 0
     for number, text in enumerate(texts):
-        rest = (text or "").lower()
-        while True:
-            piece, rest = _cut(rest)
+        text = (text or "").lower()
+        for piece in _cuts(text) if len(text) > PIECE else (text,):
             if held + len(piece) > PIECE and lists[-1]:
                 lists.append([])
                 numbers.append([])
@@ -121,29 +126,28 @@ def _pieces(texts: list[str | None]) -> tuple[list[list[str]], list[list[int]]]:
             lists[-1].append(piece)
             numbers[-1].append(number)
             held += len(piece)
-            if not rest:
-                break
     return lists, numbers
 
 
-def _cut(text: str) -> tuple[str, str]:
-    if len(text) <= PIECE:
-        return text, ""
-    at = max(text.rfind(" ", 0, PIECE), text.rfind("\n", 0, PIECE))
-    if at <= 0:  # one word longer than a piece
-        at = min((x for x in (text.find(" ", PIECE), text.find("\n", PIECE)) if x > 0),
-                 default=len(text))
-    return text[:at], text[at:]
+def _cuts(text: str) -> Iterator[str]:
+    """A text in pieces that end at the first white space from PIECE code points on."""
+    begin = 0
+    while begin < len(text):
+        space = _SPACES.search(text, begin + PIECE)
+        end = space.start() if space else len(text)
+        yield text[begin:end]
+        begin = end + 1
 
 
-def worst_windows(texts: list[str | None], bucket_scores: np.ndarray) -> np.ndarray:
-    """For each text the highest average over a window of words; NaN if it has no word.
+def worst_windows(texts: list[str | None], bucket_scores: np.ndarray, count: int = 1) -> np.ndarray:
+    """For each text the mean of its `count` highest windows (of all, if it has fewer);
+    NaN if it has no word.
 
-    Every five consecutive words are a window; a text of fewer words is one
-    window, which counts the missing words as neutral. The last four words of a
-    piece go on into the next piece of the text.
+    A window is the average of five consecutive words; a text of fewer words is
+    one window, which counts the missing words as neutral. The last four words of
+    a piece go on into the next piece of the text.
     """
-    worst = np.full(len(texts), -np.inf)
+    best = np.full((len(texts), count), -np.inf)  # highest first
     lists, numbers = _pieces(texts)
     text, scores = np.zeros(0, np.int64), np.zeros(0)
     for at, piece in enumerate(lists):
@@ -155,11 +159,15 @@ def worst_windows(texts: list[str | None], bucket_scores: np.ndarray) -> np.ndar
             starts, totals = _windows(text, scores)
             owner = text[starts]
             short = np.bincount(text, minlength=len(texts))[owner] < WINDOW
-            known = ~short | ((owner != open_) & np.isneginf(worst[owner]))
-            np.maximum.at(worst, owner[known], totals[known])
+            known = ~short | ((owner != open_) & np.isneginf(best[owner, 0]))
+            top, place = _highest(owner[known], totals[known], count)
+            new = np.full_like(best, -np.inf)
+            new[owner[known][top], place] = totals[known][top]
+            best = -np.sort(-np.concatenate([best, new], axis=1), axis=1)[:, :count]
         held = np.flatnonzero(text == open_)[1 - WINDOW:]
         text, scores = text[held], scores[held]
-    return np.where(np.isneginf(worst), np.nan, worst)
+    there = ~np.isneginf(best)
+    return np.where(there[:, 0], np.where(there, best, 0).sum(1) / np.maximum(there.sum(1), 1), np.nan)
 
 
 def _windows(text: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,20 +184,13 @@ def _windows(text: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, totals / WINDOW
 
 
-def _worst_apart(owner: np.ndarray, totals: np.ndarray, count: int) -> list[np.ndarray]:
-    """Numbers of the worst window of every text, of its worst one that shares no word with
-    that, and so on; `owner` is the text of each window, in order."""
-    begins = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(owner))))
-    left, chosen = totals.copy(), []
-    for _ in range(count):
-        hits = np.flatnonzero((left == np.maximum.reduceat(left, begins)[group]) & ~np.isneginf(left))
-        hits = hits[np.unique(group[hits], return_index=True)[1]]
-        chosen.append(hits)
-        near = hits[:, None] + np.arange(1 - WINDOW, WINDOW)
-        inside = np.clip(near, 0, len(owner) - 1)
-        left[inside[(near == inside) & (owner[inside] == owner[hits][:, None])]] = -np.inf
-    return chosen
+def _highest(owner: np.ndarray, totals: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the `count` highest windows of every text, and their places among them."""
+    order = np.lexsort((-totals, owner))
+    sizes = np.unique(owner, return_counts=True)[1]
+    place = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    top = place < count
+    return order[top], place[top]
 
 
 def probability(logits: np.ndarray) -> np.ndarray:
@@ -232,15 +233,24 @@ class Model:
         return float(self.biases[1] - self.biases[0])
 
 
+def _frequent(text: np.ndarray, word: np.ndarray, sizes: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """Whether a bucket is one of at least two texts."""
+    first, last = np.full(BUCKETS, np.iinfo(np.int64).max), np.full(BUCKETS, -1)
+    lowest, highest = np.full(len(sizes), np.iinfo(np.int64).max), np.full(len(sizes), -1)
+    np.minimum.at(lowest, word, text)
+    np.maximum.at(highest, word, text)
+    np.minimum.at(first, buckets, np.repeat(lowest, sizes))
+    np.maximum.at(last, buckets, np.repeat(highest, sizes))
+    return first < last
+
+
 def train(texts: list[str], labels: list[int], seed: int = 11, warm: int = 2, epochs: int = 24,
           batch: int = 64, rate: float = 0.5) -> Model:
     """Train on whole texts; the same input gives the same model.
 
     Two epochs average over the whole text, which tells common from telling
     n-grams. The others learn from the worst windows of each text, as the
-    model of the epoch's start sees them: one window where the label is 1, as
-    one is enough for the label, several that share no word where it is 0, as
-    all are clean.
+    model of the epoch's start sees them.
     """
     text, word, sizes, buckets = _vocabulary([(t or "").lower() for t in texts])
     starts = np.cumsum(sizes) - sizes
@@ -256,10 +266,11 @@ def train(texts: list[str], labels: list[int], seed: int = 11, warm: int = 2, ep
 
     y = np.array(labels, np.float64)
     rng = np.random.default_rng(seed)
-    e = rng.uniform(-.5, .5, (BUCKETS, DIMENSIONS)) / DIMENSIONS
+    learnt = _frequent(text, word, sizes, buckets)
+    e = rng.uniform(-.5, .5, (BUCKETS, DIMENSIONS)) / DIMENSIONS * learnt[:, None]
     v = rng.uniform(-.5, .5, (2, DIMENSIONS))
     b = np.zeros(2)
-    grown = np.full(BUCKETS, 1e-4)
+    grown = np.full(BUCKETS, .1)  # first steps are small, so rare n-grams are not learnt by heart
     heavier = max(1.0, min(8.0, (y == 0).sum() / max(1, (y == 1).sum())))
     lengths = np.bincount(text, minlength=len(y))
     begins = np.cumsum(lengths) - lengths
@@ -269,15 +280,15 @@ def train(texts: list[str], labels: list[int], seed: int = 11, warm: int = 2, ep
             spans = [[(begins[i], begins[i] + lengths[i], lengths[i])] for i in range(len(y))]
         else:
             firsts, totals = _windows(text, different.word_scores(e @ (v[1] - v[0]))[word])
-            owner = text[firsts]
+            top, _ = _highest(text[firsts], totals, WORST)
+            found = np.bincount(text[firsts[top]], minlength=len(y)) * WINDOW
             spans = [[] for _ in y]
-            for place, windows in enumerate(_worst_apart(owner, totals, 4)):
-                for i, first in zip(owner[windows].tolist(), firsts[windows].tolist()):
-                    if not (y[i] and place):
-                        spans[i].append((first, min(first + WINDOW, begins[i] + lengths[i]), WINDOW))
+            for i, first in zip(text[firsts[top]].tolist(), firsts[top].tolist()):
+                spans[i].append((first, min(first + WINDOW, begins[i] + lengths[i]), found[i]))
         rng.shuffle(order)
         for start in range(0, len(order), batch):
-            chosen = [(i, *span) for i in order[start:start + batch] for span in spans[i]]
+            docs = order[start:start + batch]
+            chosen = [(place, *span) for place, i in enumerate(docs) for span in spans[i]]
             doc, lo, hi, size = (np.array(x) for x in zip(*chosen))
             n = hi - lo
             ends = np.cumsum(n)
@@ -285,10 +296,10 @@ def train(texts: list[str], labels: list[int], seed: int = 11, warm: int = 2, ep
             hits, share, place = spread(words, np.repeat(1 / size, n))
             slope = v[1] - v[0]
             used, inverse = np.unique(hits, return_inverse=True)
-            span_of = np.repeat(np.arange(len(n)), n)[place]
-            z = np.bincount(span_of, (e[used] @ slope)[inverse] * share, len(n)) + b[1] - b[0]
-            g = (probability(z) - y[doc]) * np.where(y[doc] == 1, heavier, 1)
-            c = np.bincount(inverse, share * g[span_of], len(used))
+            doc_of = np.repeat(doc, n)[place]
+            z = np.bincount(doc_of, (e[used] @ slope)[inverse] * share, len(docs)) + b[1] - b[0]
+            g = (probability(z) - y[docs]) * np.where(y[docs] == 1, heavier, 1)
+            c = np.bincount(inverse, share * g[doc_of], len(used)) * learnt[used]
             toward = c @ e[used]
             grown[used] += c * c
             e[used] -= (rate * c / np.sqrt(grown[used]))[:, None] * slope

@@ -4,7 +4,8 @@ Contract. Every row gets score (0 to 1) and predicted (1 from `THRESHOLD` up),
 computed from its whole text alone. Labels are learnt only from rows whose
 crc32(doc_id as text) mod 3 is not 1; the others are held out. The classifier
 is fitted on a bounded sample: the first `POSITIVES` and `NEGATIVES` eligible
-labelled documents in the order of a hash of doc_id. A text without any word
+labelled documents of at most `LONGEST` code points in the order of a hash of
+doc_id, which bounds the training task. A text without any word
 (null, empty, blank, only signs) gets the share of label 1 among all eligible
 labels; so does every text where one of the labels does not occur. A doc_id
 that has several labels counts as toxic if one says so; labels that are null,
@@ -27,6 +28,7 @@ from hourly_star.llm.common import map_rows, table
 
 POSITIVES = 1_200
 NEGATIVES = 4_000
+LONGEST = 30_000  # code points of a document to learn from
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 
@@ -44,7 +46,10 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
         .join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "semi"))
     counts = dict(eligible.groupBy("toxic").count().collect())
     share = counts.get(1, 0) / max(1, counts.get(1, 0) + counts.get(0, 0))
-    chosen = [eligible.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    bounded = eligible.join(
+        docs.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.max(F.length("text")).alias("longest")).where(f"longest <= {LONGEST}"), "doc_id", "semi")
+    chosen = [bounded.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
               for label, bound in ((1, POSITIVES), (0, NEGATIVES))]
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
              .join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")  # at most the two bounds
@@ -80,7 +85,7 @@ def _batch_scores(texts: list[str | None], model: tuple[np.ndarray | None, float
     scores, bias, share = model
     found = np.full(len(texts), share)
     if scores is not None:
-        worst = subwords.worst_windows(texts, scores)
+        worst = subwords.worst_windows(texts, scores, subwords.WORST)
         judged = ~np.isnan(worst)
         found[judged] = subwords.probability(worst[judged] + bias)
     return found
