@@ -27,7 +27,9 @@ the input, so only chosen positions are ranked:
    is done; if the string that all of its windows span together is not unique,
    all windows of the part occur twice, and it is done, too.
 
-A rank is a 128-bit hash of the string from round 3 on, and a shuffle by it.
+Bytes go only where 128-bit hashes of whole strings are equal: with 10^12 strings
+at hand two different ones share a hash with a chance of about 10^-15. The 64-bit
+rank of a gram only says where to look again.
 Ranks are aggregated to least and greatest place before the shuffle, so a
 passage in very many documents is no hot key. The bytes around a position that
 is not yet decided travel with it; at most 2 * THRESHOLD of them. Equal texts
@@ -132,19 +134,19 @@ def span_rank(data: bytes, low: int, high: int) -> tuple[int, int]:
     return int.from_bytes(value[:8], "little", signed=True), int.from_bytes(value[8:], "little", signed=True)
 
 
-ELECTIONS = "k0 long, k1 long, at long, low int, high int, rank long, whole long"
+ELECTIONS = "k0 long, k1 long, at long, low int, high int, rank long, w0 long, w1 long"
 
 
 def elections(texts: DataFrame) -> DataFrame:
     """The elected positions of every text: the windows that elect position `at` start
-    `low` to `high` bytes before it; `rank` is that of the gram, `whole` that of the
-    string all of these windows span."""
+    `low` to `high` bytes before it; `rank` is that of the gram, (w0, w1) that of
+    the string all of these windows span."""
     piece = PIECE  # as set here, for all workers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, digest = Seen(), xxhash.xxh3_64_intdigest
+        seen = Seen()
         for batch in batches:
-            columns = [[] for _ in range(7)]
+            columns = [[] for _ in range(8)]
             for k0, k1, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 data = value.as_buffer()
                 if len(data) < THRESHOLD or not seen.first((k0, k1)):
@@ -152,16 +154,17 @@ def elections(texts: DataFrame) -> DataFrame:
                 at, first, last, rank = elected(np.frombuffer(data, np.uint8), piece)
                 view = memoryview(data)
                 low, high = at - last, at - first
-                whole = np.array([digest(view[f:t + THRESHOLD], l * THRESHOLD + h) for f, t, l, h in zip(
-                    first.tolist(), last.tolist(), low.tolist(), high.tolist())], np.uint64).view(np.int64)
+                whole = np.frombuffer(b"".join(
+                    xxhash.xxh3_128_digest(view[f:t + THRESHOLD], l * THRESHOLD + h) for f, t, l, h in zip(
+                        first.tolist(), last.tolist(), low.tolist(), high.tolist())), np.int64).reshape(-1, 2)
                 for column, values in zip(columns, (np.full(len(at), k0), np.full(len(at), k1), at,
-                                                    low, high, rank, whole)):
+                                                    low, high, rank, *whole.T)):
                     column.append(values)
             if columns[0]:
-                types = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.int64()] * 2
+                types = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.int64()] * 3
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c)).cast(t) for c, t in zip(columns, types)],
-                    ["k0", "k1", "at", "low", "high", "rank", "whole"])
+                    ["k0", "k1", "at", "low", "high", "rank", "w0", "w1"])
 
     return map_rows(texts.select("k0", "k1", "text"), ELECTIONS, run)
 
@@ -239,10 +242,14 @@ def repeated_windows(scratch: Scratch, texts: DataFrame) -> DataFrame:
     windows = lambda df: df.select("k0", "k1", (F.col("at") - F.col("high")).alias("first"),
                                    (F.col("at") - F.col("low")).alias("last"))
     all_places = scratch.keep(elections(texts))
-    kept = scratch.keep(all_places.join(several(all_places, ["rank"]).drop("least"), "rank"))
-    scratch.drop(scratch.tables - 1)
-    judged = scratch.keep(kept.join(several(kept, ["whole"]), "whole", "left").drop("whole"))
-    scratch.drop(scratch.tables - 1)
+    # the ranks that occur again are written before they are joined: a plain join with an
+    # aggregate on its key would stay in the aggregate's stage, where a hot rank is not split
+    again = scratch.keep(several(all_places, ["rank"]).drop("least"))
+    kept = scratch.keep(all_places.join(again, "rank"))
+    scratch.drop(scratch.tables - 2, scratch.tables - 1)
+    again = scratch.keep(several(kept, ["w0", "w1"]))
+    judged = scratch.keep(kept.join(again, ["w0", "w1"], "left").drop("w0", "w1"))
+    scratch.drop(scratch.tables - 2, scratch.tables - 1)
     found = [windows(judged.where("least IS NOT NULL"))]
     # of equal strings that are decided, one stays as a witness for undecided ones
     undecided = judged.where("least IS NULL")
@@ -253,11 +260,12 @@ def repeated_windows(scratch: Scratch, texts: DataFrame) -> DataFrame:
     todo = contexts.withColumn("todo", F.array(F.struct("low", "high", "settled")))
     for size in PARTS:
         parts = scratch.keep(_parts(todo, size))
-        ranked = parts.join(several(parts, ["s0", "s1"]), ["s0", "s1"], "left")
+        written = scratch.tables
+        ranked = parts.join(scratch.keep(several(parts, ["s0", "s1"])), ["s0", "s1"], "left")
         if size > 1:
-            ranked = ranked.join(several(parts, ["c0", "c1"]).drop("least"), ["c0", "c1"])
+            ranked = ranked.join(scratch.keep(several(parts, ["c0", "c1"]).drop("least")), ["c0", "c1"])
         ranked = scratch.keep(ranked.drop("s0", "s1"))
-        scratch.drop(scratch.tables - 1)
+        scratch.drop(*range(written, scratch.tables))
         found.append(windows(ranked.where("not settled AND least IS NOT NULL")))
         if size == 1:
             break
