@@ -15,9 +15,10 @@ def connected_components(scratch: Scratch, links: DataFrame) -> DataFrame:
 
     Large-star links every greater neighbour to the least one, small-star every
     smaller neighbour; both only need the least neighbour of a node, which is
-    aggregated map-side, and a join that adaptive execution may split when one
-    node has very many links. A round is a written table; only its row count
-    and a checksum come to the driver.
+    aggregated map-side and written before it is joined: in a stage of its own
+    adaptive execution may split the join when one node has very many links. A
+    round is a written table; only its row count and a checksum come to the
+    driver.
     """
     edges = scratch.keep(links.where("a <> b")
                          .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -27,10 +28,12 @@ def connected_components(scratch: Scratch, links: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if seen[0] == 0:
             break
-        edges = scratch.keep(_small_star(_large_star(edges)))
+        large = scratch.keep(_large_star(scratch, edges))
+        edges = scratch.keep(_small_star(scratch, large))
         mark = _mark(edges)
-        if scratch.tables - 1 > first:
-            scratch.drop(scratch.tables - 1)
+        scratch.drop(*range(scratch.tables - 3, scratch.tables))
+        if scratch.tables - 4 > first:
+            scratch.drop(scratch.tables - 4)
         if mark == seen:
             break
         seen = mark
@@ -40,16 +43,16 @@ def connected_components(scratch: Scratch, links: DataFrame) -> DataFrame:
         edges.select("b", "b")).distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(scratch: Scratch, edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("b", "a"))
-    least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).withColumn(
-        "m", F.least("u", "m"))
+    least = scratch.keep(both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).withColumn(
+        "m", F.least("u", "m")))
     return (both.where("b > a").join(least, F.col("a") == F.col("u"))
             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+def _small_star(scratch: Scratch, edges: DataFrame) -> DataFrame:
+    least = scratch.keep(edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")))
     joined = edges.join(least, F.col("a") == F.col("u"))
     return (joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(least.select("u", "m")).where("a <> b").distinct())
