@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,24 +17,23 @@ BLOCKS = frozenset(
     "summary dialog menu hr center noscript hgroup search button select textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 FOREIGN = frozenset("svg math".split())  # a slash before the end of the tag closes them
-RAW = frozenset("script style title template iframe noembed svg math object canvas audio video".split())
+RAW = frozenset("script style title template iframe noembed svg".split())  # what is inside is no text
 CLOSES_P = BLOCKS - frozenset("html body td th button label select textarea legend summary".split())
 CONTROLS = frozenset("input select textarea button option".split())
 SELF_CLOSING = {  # an open element that a start tag of the key ends, and where the search for it stops
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
     "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
 }
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/><]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/><]*)[^>]*>"
-    r"|<[!?/][^>]*(?:>|\Z)", re.S)
+_TAG = re.compile(r"</?([a-zA-Z][^\s/><]*)")
+_OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
+_PLAIN = re.compile(r"[^>\"']*")
 _NAMED = re.compile(r"(?:^|[\s\"'])(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_BARE_VALUE = re.compile(r"=\s*[^\s\"'>]+\Z")  # a slash at the end of such a value belongs to it
+_BREAKS = re.compile(r"[\s\"'>]")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _TEXT_SIGNS = re.compile(r"[.,;:!?]")
 
 FEATURES = 1 << 13
+DEEPEST = 512  # elements further down become siblings, as in browsers
 GROUPS = {"p": 0, "li": 1, "ul": 1, "ol": 1, "td": 2, "tr": 2, "tbody": 2, "table": 2,
           "h1": 3, "h2": 3, "h3": 3, "h4": 3, "h5": 3, "h6": 3}  # kinds of children; others are 4
 N_GROUPS = 5
@@ -59,6 +59,8 @@ class Forest:
     runs: list[tuple[int, list[str]]] = field(default_factory=list)  # (element, pieces) in page order
 
     def add(self, page: int, parent: int, name: str, attrs: str) -> int:
+        if parent >= 0 and self.depth[parent] >= DEEPEST:
+            parent = self.parent[parent]
         features = [_hash("t:" + name), _hash(f"u:{name}:{self.kind[parent]}" if parent >= 0 else "u:")]
         label = self.label[parent] if parent >= 0 else -1
         if attrs:
@@ -81,57 +83,29 @@ class Forest:
         return len(self.page) - 1
 
     def parse(self, page: int, source: str) -> None:
-        """Add a page; tags need not be closed or nested well."""
+        """Add a page; tags need not be closed or nested well. Time grows with the length alone."""
         root = self.add(page, -1, "html", "")
-        open_names: list[str] = ["html"]
-        open_nodes: list[int] = [root]  # nearest block element of each open element
-        links, at, length, run_of = 0, 0, len(source), -1
+        opened = _Open(root)
+        run_of = -1
         position = 0
-        while position < length:
-            token = _TOKEN.search(source, position)
-            stop = token.start() if token else length
-            if stop > position:
-                piece, node = source[position:stop], open_nodes[-1]
-                if run_of != node:
-                    self.runs.append((node, []))
-                    run_of = node
-                self.runs[-1][1].append(piece)
-                size = len(piece.strip())
-                if size:
-                    self.chars[node] += size
-                    self.signs[node] += len(_TEXT_SIGNS.findall(piece))
-                    if links:
-                        self.linked[node] += size
-            if not token:
-                break
-            position = token.end()
-            name = token["name"] or token["name2"]
+        for start, stop, closing, name, attrs in _tags(source):
+            if start > position:
+                run_of = self._text(source[position:start], opened, run_of)
+            position = stop
             if not name:
                 continue
-            name = name.lower()
-            if token["end"] or token["end2"]:
-                if name in open_names:
-                    at = len(open_names) - 1
-                    while open_names[at] != name:
-                        at -= 1
-                    if at or name != "html":
-                        links -= open_names[at:].count("a")
-                        del open_names[at:], open_nodes[at:]
-                        if name in BLOCKS:
-                            run_of = -1
-                    if not open_names:
-                        open_names, open_nodes = ["html"], [root]
-                elif name == "p":
+            if closing:
+                if name != "html" and opened.last(name) >= 0:
+                    opened.cut(opened.last(name))
+                    if name in BLOCKS:
+                        run_of = -1
+                elif name == "p" and opened.last("p") < 0:
                     run_of = -1
                 continue
-            node = open_nodes[-1]
+            node = opened.nodes[-1]
             if name in CONTROLS:
                 self.controls[node] += 1
-            if name in FOREIGN and token[0].endswith("/>") and not _BARE_VALUE.search(token["attrs"] or ""):
-                continue
-            if name in RAW:
-                end = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(source, position)
-                position = length if not end else source.find(">", end.start()) + 1 or length
+            if _self_closed(name, attrs):
                 continue
             if name in VOID:
                 if name == "br" and run_of == node:
@@ -139,33 +113,117 @@ class Forest:
                 if name == "hr":
                     run_of = -1
                 continue
-            if name in CLOSES_P and "p" in open_names:
-                at = len(open_names) - 1
-                while open_names[at] != "p":
-                    at -= 1
-                if not any(x in ("td", "th", "button") for x in open_names[at:]):
-                    links -= open_names[at:].count("a")
-                    del open_names[at:], open_nodes[at:]
+            if name in RAW:
+                continue
+            if name in CLOSES_P and opened.last("p") > max(map(opened.last, ("td", "th", "button"))):
+                opened.cut(opened.last("p"))
             if name in SELF_CLOSING:
-                ends, walls = SELF_CLOSING[name]
-                for at in range(len(open_names) - 1, 0, -1):
-                    if open_names[at] in walls:
-                        break
-                    if open_names[at] in ends:
-                        links -= open_names[at:].count("a")
-                        del open_names[at:], open_nodes[at:]
-                        break
+                ends, walls = (max(map(opened.last, names)) for names in SELF_CLOSING[name])
+                if ends > walls:
+                    opened.cut(ends)
             if name in ("html", "head"):
                 continue
             if name == "a":
-                links += 1
-                self.links[open_nodes[-1]] += 1
-            open_names.append(name)
+                self.links[opened.nodes[-1]] += 1
             if name in BLOCKS:
-                open_nodes.append(self.add(page, open_nodes[-1], name, token["attrs"] or ""))
+                opened.push(name, self.add(page, opened.nodes[-1], name, attrs))
                 run_of = -1
             else:
-                open_nodes.append(open_nodes[-1])
+                opened.push(name, opened.nodes[-1])
+        if position < len(source):
+            self._text(source[position:], opened, run_of)
+
+    def _text(self, piece: str, opened: _Open, run_of: int) -> int:
+        """Add text to the nearest block element; the element of the run it is part of."""
+        node = opened.nodes[-1]
+        if run_of != node:
+            self.runs.append((node, []))
+        self.runs[-1][1].append(piece)
+        size = len(piece.strip())
+        if size:
+            self.chars[node] += size
+            self.signs[node] += len(_TEXT_SIGNS.findall(piece))
+            if opened.last("a") >= 0:
+                self.linked[node] += size
+        return node
+
+
+class _Open:
+    """The open elements of a page, with the nearest block element of each, and where each name is."""
+
+    def __init__(self, root: int) -> None:
+        self.names, self.nodes = ["html"], [root]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, name: str, node: int) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+        self.nodes.append(node)
+
+    def last(self, name: str) -> int:
+        """Place of the innermost open element of the name, -1 if there is none."""
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
+    def cut(self, place: int) -> None:
+        """Close the element at the place and all within it."""
+        for name in self.names[place:]:
+            self.places[name].pop()
+        del self.names[place:], self.nodes[place:]
+
+
+def _tags(source: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(start, end, closing, name, attributes) of every piece of markup, in one scan forward.
+
+    The name is empty where nothing is opened or closed. The content of a RAW element
+    is part of its start tag. A tag ends at the first > outside of quotes; up to a quote
+    that is never closed, at the first >. What would be a tag but has no > is text.
+    """
+    last_end = source.rfind(">")
+    broken = -1  # tags that begin before it end at their first >
+    position = 0
+    while (start := source.find("<", position)) >= 0:
+        tag = _TAG.match(source, start)
+        other = None if tag and start < last_end else _OTHER.match(source, start)
+        if other:
+            yield start, other.end(), False, "", ""
+        if not tag or start > last_end:
+            position = other.end() if other else start + 1
+            continue
+        if start < broken:
+            end = source.find(">", tag.end())
+            attrs = source[tag.end():end]
+        else:
+            end = _quoted_end(source, tag.end())
+            attrs = source[tag.end():end] if source[end:end + 1] == ">" else ""
+            if source[end:end + 1] != ">":
+                broken, end = end + 1, source.find(">", tag.end())
+        name, closing = tag[1].lower(), source[start + 1] == "/"
+        position = end + 1
+        if name in RAW and not closing and not _self_closed(name, attrs):
+            inner = re.compile(rf"</{name}[\s/>]", re.I).search(source, position)
+            position = source.find(">", inner.start()) + 1 or len(source) if inner else len(source)
+        yield start, position, closing, name, attrs
+
+
+def _quoted_end(source: str, position: int) -> int:
+    """Place of the first > outside of quotes; else of the quote that is never closed, or the end."""
+    while True:
+        position = _PLAIN.match(source, position).end()
+        if position == len(source) or source[position] == ">":
+            return position
+        closed = source.find(source[position], position + 1)
+        if closed < 0:
+            return position
+        position = closed + 1
+
+
+def _self_closed(name: str, attrs: str) -> bool:
+    """Whether a slash closes the tag, one that is no part of a value without quotes."""
+    if name not in FOREIGN or not attrs.endswith("/"):
+        return False
+    tail = _BREAKS.split(attrs)[-1]
+    return "=" not in tail[:-1] and not attrs[:len(attrs) - len(tail)].rstrip().endswith("=")
 
 
 def _hash(text: str) -> int:

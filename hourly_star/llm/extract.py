@@ -6,7 +6,10 @@ and reader comments: character references decoded, white space inside a block
 as one space, no space at its ends, blocks in page order joined by one space.
 Null, empty and text-free pages give an empty text. Broken markup is read as
 browsers do where it matters here (unclosed paragraphs, items and inline tags;
-comments or scripts that never end). Repeated rows are treated one by one, an
+comments or scripts that never end; elements over `dom.DEEPEST` deep become
+siblings; a tag that never ends is text), in time that grows with the length
+alone. Formulas and the text of objects and media elements are text like any
+other, drawings (svg) are not. Repeated rows are treated one by one, an
 empty table gives an empty result; further columns are ignored.
 
 Model. Every block element is content or not. Its potential is a weight for
@@ -121,9 +124,23 @@ def main_texts(pages: list[str | None], weights: Weights) -> list[str]:
     return texts
 
 
+def fitted(spark: SparkSession) -> Weights:
+    """The weights, fitted in one task; they are as many numbers as features."""
+    schema = "content binary, pair binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            weights = fit()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([weights.content.tobytes()]), pa.array([weights.pair.tobytes()])], ["content", "pair"])
+
+    row = map_rows(spark.range(0, 1, 1, 1), schema, run).first()
+    return Weights(np.frombuffer(row["content"]), np.frombuffer(row["pair"]).reshape(dom.N_GROUPS, 2, 2))
+
+
 def extracted(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row; see the head of the module."""
-    weights = pages.sparkSession.sparkContext.broadcast(fit())  # as many numbers as features
+    weights = pages.sparkSession.sparkContext.broadcast(fitted(pages.sparkSession))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

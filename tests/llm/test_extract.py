@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -96,3 +97,37 @@ def test_label_attributes_and_self_closed_graphics_of_real_pages(weights):
     kept = dom.Forest(labelled=False)
     kept.parse(0, "<body><p>a<svg fill=red/>not shown</svg>b<svg fill='red'/>c")
     assert dom.text_of(kept, np.ones(len(kept.page), bool), 1) == ["abc"]
+
+
+def test_text_of_foreign_elements_stays(weights):
+    page = (f"<body><article><h1>T</h1><p>{BODY}</p><p>Let <math><mi>x</mi> <mo>=</mo> <mn>1</mn></math> be "
+            f"<object data=u>a figure</object> here, <svg/>as <svg><path d='M0'/><text>drawn</text></svg> below.</p>"
+            f"<p>{BODY}</p></article>")
+    assert extract.main_texts([page], weights) == [f"T {TEXT} Let x = 1 be a figure here, as below. {TEXT}"]
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a x="', '<a ">"', "<div>", "<div><span>", "<p><button><div>", "<li><p>", "<"])
+def test_time_grows_with_length_alone(piece):
+    spent = []
+    for size in (50_000, 400_000):
+        start = time.process_time()
+        parsed(piece * (size // len(piece)) + "'")
+        spent.append(time.process_time() - start)
+    assert spent[1] < 24 * spent[0] + .2
+
+
+def test_depth_is_bounded():
+    forest, by_depth = parsed("<div>" * 3_000 + "deep")
+    assert len(by_depth) == dom.DEEPEST + 1 and len(forest.page) == 3_001
+    assert forest.runs == [(3_000, ["deep"])]
+
+
+@pytest.mark.parametrize("page,tags", [
+    ("a <b c='>'>d</b>", [(2, 11, False, "b", " c='>'"), (12, 16, True, "b", "")]),
+    ("<a x=\"y><b z='1'>", [(0, 8, False, "a", ""), (8, 17, False, "b", " z='1'")]),
+    ("<i><a ", [(0, 3, False, "i", "")]),
+    ("<!-- <p> --><?x?></p", [(0, 12, False, "", ""), (12, 17, False, "", ""), (17, 20, False, "", "")]),
+    ("<script>a<p></script >b", [(0, 22, False, "script", "")]),
+    ("<style>a<p>", [(0, 11, False, "style", "")])])
+def test_markup_in_one_scan(page, tags):
+    assert list(dom._tags(page)) == tags
