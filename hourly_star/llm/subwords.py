@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-GRAMS = (4, 5, 6)
+GRAMS = (3, 4, 5)
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 WINDOW = 5
