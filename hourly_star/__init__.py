@@ -1,5 +1,6 @@
 """Hourly measurement data on Spark: landing, parsing, upsert, star schema, checks."""
 
+from hourly_star.operators.calendars import store_calendars
 from hourly_star.plans.daily import CheckFailure, daily_run, raise_on_failure
 from hourly_star.plans.ingest import dry_run, ingest, rebuild, replay, store_reference
 from hourly_star.plans.quality import check_changed, check_star, warehouse_tables
@@ -13,5 +14,5 @@ __all__ = [
     "CheckFailure", "Warehouse", "build_session", "build_star",
     "check_changed", "check_star", "daily_run", "document_stream", "dry_run",
     "envelope_stream", "ingest", "prepare", "raise_on_failure", "read_documents", "replay",
-    "shared_dir", "start_upserts", "store_reference", "warehouse_tables",
+    "shared_dir", "start_upserts", "store_calendars", "store_reference", "warehouse_tables",
 ]

@@ -183,6 +183,27 @@ def dropped_forecast(parsed: DataFrame) -> DataFrame:
     )
 
 
+def document_counts(responses: DataFrame, codes: list[str],
+                    expected_units: dict[str, str] | None = None,
+                    as_of: str | Column = "ingested_at") -> DataFrame:
+    """What `parse_responses` would make of each document, without unpivoting it.
+
+    One row per response: submitted and dropped_future of an accepted one, the
+    reason of a refused one. Every hour gives one row per code, so the lengths
+    of the time axis tell the numbers.
+    """
+    codes = list(codes)
+    good = F.col("guard_error").isNull()
+    dropped = F.size(F.filter("times", lambda t: t > F.col("as_of")))
+
+    def rows(hours: Column) -> Column:
+        return F.when(good, hours.cast("long") * len(codes)).otherwise(F.lit(0))
+
+    return _guarded(responses, codes, expected_units or {}, as_of).select(
+        "response_id", "location_code", rows(F.size("times") - dropped).alias("submitted"),
+        rows(dropped).alias("dropped_future"), "guard_error")
+
+
 def refuse(rejects: DataFrame, shown: int = 20) -> None:
     """Raise if any response was refused, naming the first few."""
     some = rejects.orderBy("response_id").limit(shown).collect()

@@ -12,7 +12,7 @@ from hourly_star.operators.constraints import (
     violations,
 )
 from hourly_star.operators.parse import (
-    dropped_forecast, parse_responses, readings, refuse, rejected,
+    document_counts, parse_responses, readings, refuse, rejected,
 )
 from hourly_star.operators.revisions import INSERTED, fold
 from hourly_star.operators.upsert import CELL, note_changes, placed, upsert
@@ -110,12 +110,7 @@ def dry_run(envelopes: DataFrame, codes: list[str], as_of: datetime,
     responses = envelopes.select(
         F.monotonically_increasing_id().alias("response_id"), *raw_columns(source),
         instant(as_of).alias("ingested_at"))
-    parsed = parse_responses(responses, codes)
-    refused = rejected(parsed).select(
-        "response_id", "location_code", F.lit(0).cast("long").alias("submitted"),
-        F.lit(0).cast("long").alias("dropped_future"), "guard_error")
-    return dropped_forecast(parsed).withColumn(
-        "guard_error", F.lit(None).cast("string")).unionByName(refused)
+    return document_counts(responses, codes)
 
 
 def replay(responses: DataFrame, units: dict[str, str]) -> DataFrame:

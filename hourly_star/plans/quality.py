@@ -12,7 +12,7 @@ from hourly_star.operators.checks import (
     check_relationships, check_unique, run_checks, source_freshness, stale,
 )
 from hourly_star.operators.upsert import in_days
-from hourly_star.plans.star import TIME_ZONE, staged_readings
+from hourly_star.plans.star import TIME_ZONE, staged_of
 from hourly_star.session import instant
 from hourly_star.sources.tables import Warehouse
 
@@ -86,7 +86,7 @@ def warehouse_tables(warehouse: Warehouse, zone: str = TIME_ZONE,
     if days is not None:
         for name in (READINGS, FACT):
             tables[name] = in_days(tables[name], days)
-    return {**tables, STAGED: staged_readings(tables[READINGS], zone)}
+    return {**tables, STAGED: staged_of(warehouse, tables[READINGS], zone)}
 
 
 def check_changed(warehouse: Warehouse, since: datetime | str, as_of: datetime | str,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from hourly_star.functions.calendar import (
 )
 from hourly_star.functions.keys import reading_key
 from hourly_star.functions.predicates import exceeds
+from hourly_star.operators.calendars import as_of_calendar
 from hourly_star.operators.constraints import enforce_domain
 from hourly_star.operators.incremental import changed_since, merge, pending
 from hourly_star.operators.upsert import in_days
@@ -47,9 +49,34 @@ def staged_by_location(readings: DataFrame, locations: DataFrame) -> DataFrame:
     none, the common calendar applies.
     """
     calendar = locations.select("location_code", "time_zone", "weekend_days")
-    placed = readings.join(calendar, "location_code", "left")
-    zone = F.coalesce("time_zone", F.lit(TIME_ZONE))
-    weekend = F.coalesce("weekend_days", F.array(*[F.lit(d) for d in WEEKEND]))
+    return _on_own_clock(readings.join(calendar, "location_code", "left"), TIME_ZONE, WEEKEND)
+
+
+def staged_as_of(readings: DataFrame, calendars: DataFrame, first: date | None, last: date | None,
+                 zone: str = TIME_ZONE, weekend: Iterable[int] = WEEKEND) -> DataFrame:
+    """The staging view with every location on the clock and weekend valid at the hour.
+
+    `first` and `last` are the UTC days that readings span; where a location
+    has no calendar at an hour, the common one applies.
+    """
+    return _on_own_clock(as_of_calendar(readings, calendars, first, last), zone, weekend)
+
+
+def staged_of(warehouse: Warehouse, readings: DataFrame, zone: str = TIME_ZONE,
+              weekend: Iterable[int] = WEEKEND) -> DataFrame:
+    """Readings of the warehouse as staged: by the stored calendars, all by the common one if there are none."""
+    calendars = warehouse.read("location_calendars")
+    if calendars.isEmpty():
+        return staged_readings(readings, zone)
+    first, last = warehouse.partition_days("hourly_readings", "utc_date").agg(
+        F.min("utc_date"), F.max("utc_date")).first()
+    return staged_as_of(readings, calendars, first, last, zone, weekend)
+
+
+def _on_own_clock(placed: DataFrame, common_zone: str, common_weekend: Iterable[int]) -> DataFrame:
+    """Staged rows of readings that carry `time_zone` and `weekend_days`."""
+    zone = F.coalesce("time_zone", F.lit(common_zone))
+    weekend = F.coalesce("weekend_days", F.array(*[F.lit(d) for d in common_weekend]))
     kept = staged_readings(placed, zone).columns
     local = placed.withColumn("measured_at_local", local_time(F.col("measured_at_utc"), zone)) \
         .withColumnRenamed("value", "concentration")
@@ -108,6 +135,7 @@ def fact(staged: DataFrame, pollutants: DataFrame) -> DataFrame:
         exceeds(F.col("concentration"), F.col("who_guideline")).alias("exceeds_guideline"),
         "source_response_id",
         F.col("loaded_at").alias("source_loaded_at"),
+        *[c for c in staged.columns if c == "is_weekend_local"],
     )
 
 
@@ -133,11 +161,12 @@ def build_star(warehouse: Warehouse, full_refresh: bool = False, zone: str = TIM
     readings loaded since, and only days with news are rewritten. A run that
     dies before it is noted in analytics.star_runs is done again, which
     changes nothing. Where no run was noted, all of the log is taken up.
+    Where calendars are stored, local times follow them and the fact has
+    `is_weekend_local`; `zone` and `weekend` serve all other locations.
     """
     enforce_domain(warehouse.read("pollutants"))
-    staged = staged_readings(warehouse.read("hourly_readings"), zone)
     create_staging_view(warehouse, zone)
-    edges = staged_readings(_edge_days(warehouse), zone)
+    edges = staged_of(warehouse, _edge_days(warehouse), zone, weekend)
     warehouse.replace_all("dim_date", dim_date(edges, weekend, padding))
     warehouse.replace_all("dim_pollutant", dim_pollutant(warehouse.read("pollutants")))
 
@@ -145,15 +174,19 @@ def build_star(warehouse: Warehouse, full_refresh: bool = False, zone: str = TIM
     consumed = warehouse.read("star_runs").agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
     days, since, last = pending(warehouse, consumed)
     if full_refresh:
-        # Readings are laid out by the same date, so nothing is shuffled.
-        warehouse.replace_all("fct_hourly_readings", _dated(fact(staged, pollutants)))
+        # Readings are laid out by the same date, so without calendars nothing is shuffled.
+        staged = staged_of(warehouse, warehouse.read("hourly_readings"), zone, weekend)
+        rows = _dated(fact(staged, pollutants))
+        warehouse.add_columns("fct_hourly_readings", rows)
+        warehouse.replace_all("fct_hourly_readings", rows)
         n = warehouse.read("fct_hourly_readings").count()
         _note_run(warehouse, last, None, n, n)
         return n
     if last == consumed:
         return 0
     news_of = changed_since(in_days(warehouse.read("hourly_readings"), days), since)
-    batch = stage(_dated(fact(staged_readings(news_of, zone), pollutants)), warehouse.staging_path("increment"))
+    staged = staged_of(warehouse, news_of, zone, weekend)
+    batch = stage(_dated(fact(staged, pollutants)), warehouse.staging_path("increment"))
     written = merge(warehouse, "fct_hourly_readings", batch, list(FACT_KEY))
     _note_run(warehouse, last, days.count(), batch.count(), written)
     return written
@@ -167,14 +200,19 @@ def _note_run(warehouse: Warehouse, seq: int, days: int | None, read: int, writt
 def create_staging_view(warehouse: Warehouse, zone: str = TIME_ZONE) -> str:
     """The staged readings as a view of the staging layer, for every session; returns its name."""
     name = f"{warehouse.prefix}staging.{STAGING_VIEW}"
-    quoted = zone.replace("'", "''")
+    common = "'" + zone.replace("'", "''") + "'"
     warehouse.spark.sql(f"""
         CREATE OR REPLACE VIEW {name} COMMENT 'Readings under warehouse names with local time' AS
-        SELECT location_code, pollutant_code, measured_at_utc,
-          CAST(convert_timezone('UTC', '{quoted}', CAST(measured_at_utc AS TIMESTAMP_NTZ)) AS TIMESTAMP_NTZ)
-            AS measured_at_local,
+        SELECT r.location_code, pollutant_code, measured_at_utc,
+          CAST(convert_timezone('UTC', coalesce(time_zone, {common}), CAST(measured_at_utc AS TIMESTAMP_NTZ))
+            AS TIMESTAMP_NTZ) AS measured_at_local,
           value AS concentration, unit, source_response_id, first_loaded_at, loaded_at
-        FROM {warehouse.name("hourly_readings")}""")
+        FROM {warehouse.name("hourly_readings")} r LEFT JOIN (
+          SELECT location_code, time_zone, valid_from,
+            lead(valid_from) OVER (PARTITION BY location_code ORDER BY valid_from) AS valid_to
+          FROM {warehouse.name("location_calendars")}) c
+        ON c.location_code = r.location_code AND (valid_from IS NULL OR valid_from <= measured_at_utc)
+          AND (valid_to IS NULL OR measured_at_utc < valid_to)""")
     return name
 
 

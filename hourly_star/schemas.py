@@ -34,7 +34,7 @@ UNIT_SPELLINGS = {
 def _struct(*fields: tuple[str, T.DataType | str, str]) -> T.StructType:
     named = {"string": T.StringType(), "binary": T.BinaryType(), "long": T.LongType(), "int": T.IntegerType(),
              "short": T.ShortType(), "date": T.DateType(), "timestamp": T.TimestampType(),
-             "ntz": T.TimestampNTZType(), "boolean": T.BooleanType()}
+             "ntz": T.TimestampNTZType(), "boolean": T.BooleanType(), "ints": T.ArrayType(T.IntegerType())}
     return T.StructType([
         T.StructField(name, named[kind] if isinstance(kind, str) else kind, True,
                       {"comment": comment} if comment else None)
@@ -92,6 +92,13 @@ READINGS = _struct(
     ("bucket", "int", "of the location"),
 )
 
+CALENDARS = _struct(
+    ("location_code", "string", ""),
+    ("valid_from", "timestamp", "NULL: from the beginning"),
+    ("time_zone", "string", ""),
+    ("weekend_days", "ints", "Monday = 1"),
+)
+
 CHANGES = _struct(
     ("seq", "long", "increases with every upsert that writes"),
     ("utc_date", "date", "a day it wrote"),
@@ -158,6 +165,7 @@ TABLES = {
     "pollutants": Table("staging", POLLUTANTS, (), "Reference domain of measured variables"),
     "hourly_readings": Table("staging", READINGS, ("utc_date", "bucket"),
                              "One row per location, pollutant and hour"),
+    "location_calendars": Table("staging", CALENDARS, (), "Time zone and weekend of locations, each valid from an instant"),
     "reading_changes": Table("staging", CHANGES, (), "Days that upserts wrote, for what is built on readings"),
     "star_runs": Table("analytics", STAR_RUNS, (), "What each increment of the fact took up"),
     "dim_date": Table("analytics", DIM_DATE, (), "One row per local calendar day"),

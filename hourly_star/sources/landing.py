@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourly_star.operators.constraints import duplicates, enforce_none
@@ -87,7 +87,7 @@ def land(warehouse: Warehouse, envelopes: DataFrame, batch_ts: datetime,
     top_id, newest = _high_water(warehouse)
     if newest is not None and batch_ts.replace(tzinfo=None) < newest:
         raise ValueError(f"batch time {batch_ts} is before the newest landing {newest}")
-    numbered = _numbered(envelopes.select("document", "fetched_at"), top_id)
+    numbered = _numbered(warehouse, envelopes.select("document", "fetched_at"), top_id)
     rows = envelopes.join(numbered, "document").select(
         "response_id",
         *raw_columns(source),
@@ -116,16 +116,27 @@ def _not_stored(envelopes: DataFrame, stored: DataFrame) -> DataFrame:
     return envelopes.join(stored.select("document"), "document", "left_anti")
 
 
-def _numbered(documents: DataFrame, top_id: int) -> DataFrame:
-    """Ids that grow with the time of fetching, above all ids so far.
+# monotonically_increasing_id() counts rows within a partition in its lowest bits.
+ROW_BITS = 33
+
+
+def _numbered(warehouse: Warehouse, documents: DataFrame, top_id: int) -> DataFrame:
+    """Ids without gaps that grow with the time of fetching, above all ids so far.
 
     Only names and times are sorted. Bodies are read once and, as long as the
-    list of names is small enough to be broadcast, not moved at all.
+    list of names is small enough to be broadcast, not moved at all. The sorted
+    names are written with their partition and place in it; what comes before a
+    partition follows from the counts, one row per partition.
     """
     enforce_none(duplicates(documents, ["document"]), "documents that occur twice in a batch")
-    return documents.orderBy("fetched_at", "document").select(
-        "document",
-        (F.lit(top_id + 1) + F.monotonically_increasing_id()).alias("response_id"))
+    place = F.monotonically_increasing_id()
+    ordered = stage(documents.orderBy("fetched_at", "document").select(
+        "document", F.shiftright(place, ROW_BITS).alias("part"),
+        place.bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("place")), warehouse.staging_path("numbered"))
+    counts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    return ordered.join(before, "part").select(
+        "document", (F.lit(top_id + 1) + F.col("before") + F.col("place")).alias("response_id"))
 
 
 def _high_water(warehouse: Warehouse) -> tuple[int, datetime | None]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hourly_star.operators.parse import (
     dropped_forecast, parse_responses, readings, rejected,
 )
+from hourly_star.operators.calendars import store_calendars
 from hourly_star.operators.incremental import merge
 from hourly_star.plans.daily import daily_run
 from hourly_star.plans.ingest import dry_run, ingest, rebuild, replay
@@ -146,6 +147,43 @@ def fct_schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         "reading_key", "concentration", "is_high", "source_loaded_at"))
 
 
+# Calendars of locations by the remainder of their number by 3; those of 2 keep the common one.
+# The second zone of 0 starts within an hour of a day that has readings before and after.
+MOVES = "2024-01-15 11:30:00"
+CALENDARS = [(0, None, "Asia/Tokyo", [6, 7]), (0, MOVES, "America/New_York", [5, 6]),
+             (1, MOVES, "Asia/Kolkata", [7])]
+
+
+def star_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Locations on clocks of their own, one of which is set to another zone between two increments."""
+    warehouse = scratch_warehouse(spark)
+    docs = _fetched(spark, sf_dir, warehouse)
+    codes = docs[0].union(docs[1]).select("location_code").distinct().withColumn(
+        "kind", F.substring("location_code", 5, 20).cast("long") % 3)
+    rules = spark.createDataFrame(CALENDARS, "kind long, valid_from string, time_zone string, weekend_days array<int>")
+    calendars = codes.join(rules, "kind").withColumn("valid_from", F.col("valid_from").cast("timestamp"))
+    for i, issue in enumerate(BATCHES):
+        ingest(warehouse, docs[issue], _times(i))
+        if i == 0:
+            store_calendars(warehouse, calendars.filter("valid_from IS NULL"))
+        if i == 2:
+            build_star(warehouse)  # before the move is known
+            store_calendars(warehouse, calendars.filter("valid_from IS NOT NULL"))
+        build_star(warehouse)
+    return plain(warehouse.read("fct_hourly_readings").select(
+        "reading_key", "date_key", "location_code", "measured_at_local", "hour_of_day_local", "concentration",
+        "is_weekend_local"))
+
+
+def land_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of three batches: no gaps, in the order of arrival."""
+    warehouse = scratch_warehouse(spark)
+    docs = _fetched(spark, sf_dir, warehouse)
+    for i, issue in enumerate(BATCHES):
+        land(warehouse, docs[issue], _times(i))
+    return plain(warehouse.read("responses").select("response_id", "document", "ingested_at"))
+
+
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batches as files in a landing folder, taken up by a stream."""
     warehouse = scratch_warehouse(spark)
@@ -200,7 +238,7 @@ def land_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     ingest_with_refusals, rebuild_tables, land_repeated,
     daily_checks, parse_forecast_drop, guard_violations, dry_run_counts, upsert_tables, raw_replay, run_summary,
-    fct_incremental, increment_profile, fct_schema_append, stream_upsert,
+    fct_incremental, increment_profile, fct_schema_append, star_by_location, land_ids, stream_upsert,
 )}
 QUERIES["parse_responses"] = parsed_responses
 
@@ -277,6 +315,24 @@ ORACLES = {
     "increment_profile": f"""{_runs_sql()} SELECT response_id // 1000000000 + 1 AS seq,
         count(DISTINCT CAST(measured_at_utc AS DATE)) AS days, count(*) AS rows_read, count(*) AS rows_written
         FROM folded_log WHERE action <> 'N' GROUP BY 1""",
+    "star_by_location": f"""{_runs_sql()}, {pollutants_sql(documents=True)},
+        placed AS (SELECT *, CAST(substr(location_code, 5) AS BIGINT) % 3 AS kind,
+          measured_at_utc >= TIMESTAMP '{MOVES}' AS moved FROM folded),
+        local AS (SELECT *, (measured_at_utc AT TIME ZONE 'UTC') AT TIME ZONE
+            CASE WHEN kind = 0 AND NOT moved THEN 'Asia/Tokyo' WHEN kind = 0 THEN 'America/New_York'
+            WHEN kind = 1 AND moved THEN 'Asia/Kolkata' ELSE 'Africa/Cairo' END AS t FROM placed)
+        SELECT md5(location_code || '|' || pollutant_code || '|'
+            || strftime(measured_at_utc, '%Y-%m-%d %H:%M:%S')) AS reading_key,
+          CAST(strftime(t, '%Y%m%d') AS INTEGER) AS date_key, location_code, t AS measured_at_local,
+          CAST(hour(t) AS INTEGER) AS hour_of_day_local, value AS concentration,
+          CASE WHEN kind = 0 AND NOT moved THEN isodow(t) IN (6, 7) WHEN kind = 1 AND moved THEN isodow(t) = 7
+            ELSE isodow(t) IN (5, 6) END AS is_weekend_local
+        FROM local JOIN pollutants ON pollutant_code = pollutant_key""",
+    "land_ids": f"""{_DOCS}, runs AS (SELECT * FROM docs JOIN (VALUES
+          (0, 0, TIMESTAMP '{_times(0)}'), (1, 1, TIMESTAMP '{_times(1)}'), (2, 0, TIMESTAMP '{_times(2)}'))
+          AS b(batch, of_issue, landed) ON issue = of_issue)
+        SELECT row_number() OVER (ORDER BY batch, ingested_at, request_url) AS response_id,
+          request_url AS document, landed AS ingested_at FROM runs""",
     "fct_schema_append": f"""{_ALL} SELECT reading_key, concentration,
         CASE WHEN source_loaded_at >= TIMESTAMP '{_times(1)}' THEN concentration > 50 END
           AS is_high, source_loaded_at FROM fct""",
