@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 
 from conftest import submissions, utc
-from hourly_star.operators.revisions import fold, revised, revision_log
+from hourly_star.operators.revisions import collapse, fold, revised, revision_log, single, submitted_once
 from hourly_star.operators.upsert import counters, merge_actions, upserted
 
 HOUR = datetime(2026, 9, 19, 10)
@@ -138,3 +138,18 @@ def test_few_responses_need_one_shuffle(spark, capsys):
     for segment, shuffles in ((None, 1), (SEGMENT, 2)):
         fold(rows, segment).explain()
         assert capsys.readouterr().out.count("Exchange hashpartitioning") == shuffles
+
+
+def test_a_batch_without_repetitions_is_not_collapsed(spark):
+    hours = [datetime(2026, 9, 1, h) for h in (0, 1, 23)] + [datetime(2026, 9, 2)]
+    rows = [(place, code, hour, value, "ug/m3", response, T0)
+            for response, place in enumerate(("giza", "luxor"), 1)
+            for code, value in (("ozone", 1.5), ("pm10", None)) for hour in hours]
+    batch = submissions(spark, rows)
+    assert submitted_once(batch)
+    assert single(batch).schema.names == collapse(batch).schema.names
+    assert sorted(utc(single(batch)), key=repr) == sorted(utc(collapse(batch)), key=repr)
+    assert "Window" not in single(batch)._jdf.queryExecution().optimizedPlan().toString()
+    for again in (7, 1):  # by another response, by the same one
+        assert not submitted_once(submissions(spark, [*rows, (*rows[0][:5], again, T0)]))
+    assert submitted_once(batch.limit(0))
