@@ -11,9 +11,10 @@ from hourly_star.operators.parse import UpstreamDataError
 from hourly_star.plans.daily import CheckFailure, daily_run, raise_on_failure
 from hourly_star.plans.ingest import dry_run, ingest, rebuild, replay, store_reference
 from hourly_star.plans.star import build_star, fact, staged_readings
-from hourly_star.operators.incremental import drift, merge, watermark
+from hourly_star.operators.incremental import compared, drift, merge, watermark
 from hourly_star.operators.upsert import BUCKETS, merged_cells
 from hourly_star.schemas import FACT_KEY, POLLUTANT_ROWS, POLLUTANTS
+from hourly_star.session import spread
 from hourly_star.sources.landing import covering, digest_counts, newest_first, read_documents
 from hourly_star.sources import reference
 from hourly_star.sources.tables import Warehouse
@@ -420,3 +421,20 @@ def test_manifest_dates_are_read_strictly(spark, tmp_path):
         bad = spark.createDataFrame([(*row[:4], text, *row[5:])], schema)
         with pytest.raises(Exception, match="(?i)parse|date"):
             read_documents(spark, str(tmp_path), bad).collect()
+
+
+def test_the_merge_joins_once(spark):
+    target = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, None, "y")], "k int, v string, d string")
+    batch = spark.createDataFrame([(2, "b", "x"), (3, "c", "y"), (4, None, "y")], "k int, v string, d string")
+    after = compared(target, batch, ["k"])
+    assert sorted(tuple(row) for row in after.collect()) == [
+        (1, "a", "x", False, False), (2, "b", "x", True, False), (3, "c", "y", True, True), (4, None, "y", True, True)]
+    assert after._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_one_file_of_documents_is_parsed_by_many_tasks(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "few"))
+    spark.range(1000).repartition(40).write.parquet(str(tmp_path / "many"))
+    few, many = (spark.read.parquet(str(tmp_path / name)) for name in ("few", "many"))
+    assert spread(few).rdd.getNumPartitions() == 16
+    assert spread(many) is many
